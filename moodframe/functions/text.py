@@ -30,37 +30,42 @@ MAX_WORDS = 150
 MAX_TOKENS = 512
 # ---------------------------------------------------------------------------
 
-# Unicode-aware whitespace (Java's plain \s is ASCII only).
+# Unicode-aware whitespace (Java's plain \s is ASCII only); the ASCII form
+# is the one an RE2-based engine (DuckDB) has, used where results are checked
+# against such an engine.
 WS = r"(?U)\s+"
+WS_ASCII = r"[\t\n\f\r ]+"
 # Line breaks as Python's str.splitlines() knows them.
 LINE_BREAKS = r"\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]"
+LINE_BREAKS_ASCII = r"\r\n|\n|\r"
 
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def utrim(c: str | Column) -> Column:
-    """Strip Unicode whitespace at both ends (``str.strip()``)."""
-    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
+def utrim(c: str | Column, unicode: bool = True) -> Column:
+    """Strip whitespace at both ends (``str.strip()``; Unicode by default)."""
+    pat = r"(?U)^\s+|\s+\z" if unicode else r"^[\t\n\f\r ]+|[\t\n\f\r ]+\z"
+    return F.regexp_replace(_c(c), pat, "")
 
 
-def split_lines(text: str | Column) -> Column:
+def split_lines(text: str | Column, unicode: bool = True) -> Column:
     """C3 first half: text -> array of raw lines."""
-    return F.split(_c(text), LINE_BREAKS)
+    return F.split(_c(text), LINE_BREAKS if unicode else LINE_BREAKS_ASCII)
 
 
-def word_count(line: str | Column) -> Column:
+def word_count(line: str | Column, ws: str = WS) -> Column:
     """Whitespace-token count of a line (0 for blank)."""
-    t = utrim(line)
-    return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, WS)))
+    t = utrim(line, ws == WS)
+    return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, ws)))
 
 
 def clean_lines(lines: str | Column, phrases: Sequence[str] = IGNORE_PHRASES,
-                punct: Sequence[str] = PUNCT_LINES) -> Column:
+                punct: Sequence[str] = PUNCT_LINES, unicode: bool = True) -> Column:
     """Trim each line, drop empty lines, lines holding an ignored
     phrase (case-insensitive) and one-character punctuation lines."""
-    trimmed = F.transform(_c(lines), utrim)
+    trimmed = F.transform(_c(lines), lambda x: utrim(x, unicode))
     phrase_arr = F.array(*[F.lit(p) for p in phrases]) if phrases else None
     punct_arr = F.array(*[F.lit(p) for p in punct]) if punct else None
 
@@ -84,9 +89,9 @@ def dedupe_consecutive(lines: str | Column) -> Column:
 
 
 def page_text_lines(text: str | Column, phrases: Sequence[str] = IGNORE_PHRASES,
-                    punct: Sequence[str] = PUNCT_LINES) -> Column:
+                    punct: Sequence[str] = PUNCT_LINES, unicode: bool = True) -> Column:
     """C3-C6 in one expression: raw text -> cleaned, de-duplicated lines."""
-    return dedupe_consecutive(clean_lines(split_lines(text), phrases, punct))
+    return dedupe_consecutive(clean_lines(split_lines(text, unicode), phrases, punct, unicode))
 
 
 def safe_name(c: str | Column) -> Column:
@@ -94,14 +99,16 @@ def safe_name(c: str | Column) -> Column:
     return F.regexp_replace(F.replace(_c(c), F.lit(" "), F.lit("_")), r"[()]", "")
 
 
-def tokens(text: str | Column) -> Column:
-    t = utrim(text)
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, WS))
+def tokens(text: str | Column, unicode: bool = True) -> Column:
+    t = utrim(text, unicode)
+    return F.when(t == "", F.array().cast("array<string>")).otherwise(
+        F.split(t, WS if unicode else WS_ASCII))
 
 
-def truncate_tokens(text: str | Column, max_tokens: int = MAX_TOKENS) -> tuple[Column, Column, Column]:
+def truncate_tokens(text: str | Column, max_tokens: int = MAX_TOKENS,
+                    unicode: bool = True) -> tuple[Column, Column, Column]:
     """(first ``max_tokens`` whitespace tokens joined by a space,
     kept token count, total token count)."""
-    toks = tokens(text)
+    toks = tokens(text, unicode)
     kept = F.slice(toks, 1, max_tokens)
     return F.array_join(kept, " "), F.size(kept), F.size(toks)

@@ -1 +1,151 @@
-"""Plans (filled in as operators land)."""
+"""Segmentation plans on ``documents`` and ``pages``.
+
+Plans checked against DuckDB use the ASCII whitespace mode (RE2 has no
+Unicode ``\\s``); the library default is the Unicode form.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from moodframe.functions import text as tx
+from moodframe.operators import segment as sg
+from moodframe.plans.registry import plan
+from moodframe.plans.tables import table
+
+_TRIM = r"'^[\t\n\f\r ]+|[\t\n\f\r ]+\z'"
+_PHRASES_SQL = " OR ".join(f"contains(lower(x), '{p}')" for p in tx.IGNORE_PHRASES)
+_PUNCT_SQL = ", ".join("'" + p.replace("'", "''") + "'" for p in tx.PUNCT_LINES)
+
+LINES_SQL = f"""
+raw AS (SELECT doc_id, string_split_regex(text, '\\r\\n|\\n|\\r') AS l FROM documents),
+c3 AS (SELECT doc_id, list_filter(list_transform(l, lambda x: regexp_replace(x, {_TRIM}, '', 'g')),
+                                  lambda x: x <> '') AS l FROM raw),
+c4 AS (SELECT doc_id, list_filter(l, lambda x: NOT ({_PHRASES_SQL})) AS l FROM c3),
+c5 AS (SELECT doc_id, list_filter(l, lambda x: NOT (length(x) < 2 AND x IN ({_PUNCT_SQL}))) AS l FROM c4),
+c6 AS (SELECT doc_id, list_filter(l, lambda x, i: i = 1 OR x <> l[i - 1]) AS l FROM c5)"""
+
+
+def _explode_lines(sql_cte: str) -> str:
+    return f"""
+SELECT doc_id, CAST(u.i - 1 AS INTEGER) AS line_no, u.line
+FROM {sql_cte}, unnest({sql_cte}.l) WITH ORDINALITY AS u(line, i)"""
+
+
+def _docs(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def _lines(spark, sf_dir, stage: int):
+    raw = tx.split_lines("text", unicode=False)
+    if stage == 3:
+        arr = F.filter(F.transform(raw, lambda x: tx.utrim(x, False)), lambda x: x != "")
+    elif stage == 4:
+        arr = tx.clean_lines(raw, tx.IGNORE_PHRASES, (), unicode=False)
+    elif stage == 5:
+        arr = tx.clean_lines(raw, tx.IGNORE_PHRASES, tx.PUNCT_LINES, unicode=False)
+    else:
+        arr = tx.page_text_lines("text", unicode=False)
+    return _docs(spark, sf_dir).select("doc_id", F.posexplode(arr).alias("line_no", "line")) \
+        .select("doc_id", F.col("line_no").cast("int").alias("line_no"), "line")
+
+
+plan("split_trim_lines", "WITH " + LINES_SQL + _explode_lines("c3"))(
+    lambda spark, sf_dir: _lines(spark, sf_dir, 3))
+plan("drop_phrases", "WITH " + LINES_SQL + _explode_lines("c4"))(
+    lambda spark, sf_dir: _lines(spark, sf_dir, 4))
+plan("drop_punct_lines", "WITH " + LINES_SQL + _explode_lines("c5"))(
+    lambda spark, sf_dir: _lines(spark, sf_dir, 5))
+plan("dedupe_consecutive", "WITH " + LINES_SQL + _explode_lines("c6"))(
+    lambda spark, sf_dir: _lines(spark, sf_dir, 6))
+
+
+@plan("word_count", "WITH " + LINES_SQL + """
+SELECT doc_id, CAST(u.i - 1 AS INTEGER) AS line_no,
+       CAST(len(string_split_regex(u.line, '[\\t\\n\\f\\r ]+')) AS INTEGER) AS n_words
+FROM c6, unnest(c6.l) WITH ORDINALITY AS u(line, i)
+""")
+def word_count(spark, sf_dir):
+    d = _lines(spark, sf_dir, 6)
+    return d.select("doc_id", "line_no", tx.word_count("line", tx.WS_ASCII).alias("n_words"))
+
+
+_WC = "len(string_split_regex(x, '[\\t\\n\\f\\r ]+'))"
+SCENES_SQL = LINES_SQL + f""",
+packed AS (
+  SELECT doc_id, list_reduce(l, lambda acc, x:
+    CASE WHEN acc.cur IS NOT NULL AND acc.cnt + {_WC} > {tx.MAX_WORDS}
+         THEN {{'done': list_append(acc.done, acc.cur), 'cur': x, 'cnt': {_WC}}}
+         ELSE {{'done': acc.done, 'cur': CASE WHEN acc.cur IS NULL THEN x ELSE acc.cur || chr(10) || x END,
+               'cnt': acc.cnt + {_WC}}} END,
+    {{'done': []::VARCHAR[], 'cur': NULL::VARCHAR, 'cnt': 0}}) AS st
+  FROM c6
+),
+scenes AS (
+  SELECT doc_id, CASE WHEN st.cur IS NULL THEN st.done ELSE list_append(st.done, st.cur) END AS s FROM packed
+),
+flat AS (
+  SELECT doc_id, CAST(u.i - 1 AS INTEGER) AS scene_idx, CAST(len(s) AS INTEGER) AS n_scenes, u.t AS text
+  FROM scenes, unnest(scenes.s) WITH ORDINALITY AS u(t, i)
+)"""
+
+
+def _scenes(spark, sf_dir):
+    return sg.segment_documents(_docs(spark, sf_dir), ["doc_id"], "text", unicode=False)
+
+
+@plan("segment_scenes", "WITH " + SCENES_SQL + """
+SELECT doc_id, scene_idx, n_scenes,
+       CAST(len(string_split_regex(regexp_replace(text, '^[\\t\\n\\f\\r ]+|[\\t\\n\\f\\r ]+\\z', '', 'g'),
+                                   '[\\t\\n\\f\\r ]+')) AS INTEGER) AS n_words,
+       text
+FROM flat
+""")
+def segment_scenes(spark, sf_dir):
+    return _scenes(spark, sf_dir).select("doc_id", "scene_idx", "n_scenes", "n_words", "text")
+
+
+@plan("scene_position", "WITH " + SCENES_SQL + """
+SELECT doc_id, scene_idx,
+       round(CASE WHEN n_scenes > 1 THEN scene_idx / (n_scenes - 1) ELSE 0.0 END, 4) AS position
+FROM flat
+""")
+def scene_position(spark, sf_dir):
+    return _scenes(spark, sf_dir).select("doc_id", "scene_idx", "position")
+
+
+# C1 (rows-only: HTML tree walk in a Python worker) ------------------------------
+ARTICLE_ROOT = ("article", None)
+
+
+@plan("page_lines")
+def page_lines(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    pl = sg.page_lines(pages, "page_id", "html", root=ARTICLE_ROOT)
+    return pl.select("page_id", F.posexplode("lines").alias("line_no", "line"))
+
+
+@plan("segment_pages")
+def segment_pages(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return sg.segment_pages(pages, "page_id", "html", root=ARTICLE_ROOT).select(
+        "page_id", "scene_idx", "n_scenes", "position", "n_words", "text")
+
+
+# C2 regex variant (native, SQL-checked) -----------------------------------------
+@plan("strip_irrelevant", r"""
+WITH s AS (
+  SELECT page_id,
+         regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>', '', 'g'),
+                        '(?is)<style\b.*?</style>', '', 'g') AS h
+  FROM pages
+),
+p AS (SELECT page_id, regexp_extract_all(h, '(?is)<p\b[^>]*>(.*?)</p>', 1) AS ps FROM s)
+SELECT page_id, CAST(u.i - 1 AS INTEGER) AS pos, trim(regexp_replace(u.t, '<[^>]*>', ' ', 'g')) AS text
+FROM p, unnest(p.ps) WITH ORDINALITY AS u(t, i)
+""")
+def strip_irrelevant(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    texts = sg.regex_element_texts("html", "p")
+    return pages.select("page_id", F.posexplode(texts).alias("pos", "text")).select(
+        "page_id", F.col("pos").cast("int").alias("pos"), "text")
