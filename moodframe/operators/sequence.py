@@ -65,6 +65,16 @@ def _bucket(df: DataFrame, col: str, width) -> Column:
     return F.lit(0).cast("long")
 
 
+def time_bucket(col: str, width_us: int = DEFAULT_WIDTH_TIME_US, ntz: bool = True,
+                nulls_first: bool = True) -> Column:
+    """Bucket of a timestamp column; NULL times go to the first (or last)
+    bucket, matching ``NULLS FIRST`` (``LAST``) orders."""
+    epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'" if ntz else "TIMESTAMP'1970-01-01 00:00:00Z'"
+    b = F.floor(F.expr(f"timestampdiff(MICROSECOND, {epoch}, `{col}`)") / F.lit(int(width_us))).cast("long")
+    edge = F.lit(-(2 ** 62) if nulls_first else 2 ** 62).cast("long")
+    return F.coalesce(b, edge)
+
+
 def _join_cond(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
     cond = F.lit(True)
     for c in cols:
@@ -73,12 +83,14 @@ def _join_cond(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column
 
 
 def prev_values(df: DataFrame, keys, order, cols, prefix: str = "prev_",
-                width=None, defaults: dict | None = None) -> DataFrame:
+                width=None, defaults: dict | None = None, bucket: Column | None = None) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same
-    group in ``order`` (NULL, or ``defaults[c]``, for the first row)."""
+    group in ``order`` (NULL, or ``defaults[c]``, for the first row).
+    ``bucket`` overrides the bucket expression; it must not decrease along
+    ``order``."""
     keys, order, cols = _listify(keys), _listify(order), _listify(cols)
     defaults = defaults or {}
-    base = df.withColumn(_B, _bucket(df, order[0], width))
+    base = df.withColumn(_B, bucket if bucket is not None else _bucket(df, order[0], width))
     w = Window.partitionBy(*keys, _B).orderBy(*order)
     inner = base.withColumn(_RN, F.row_number().over(w))
     for c in cols:
@@ -105,11 +117,13 @@ def prev_values(df: DataFrame, keys, order, cols, prefix: str = "prev_",
 
 
 def dense_index(df: DataFrame, keys, order, index_col: str = "idx", count_col: str | None = "n",
-                width=None, base: int = 0) -> DataFrame:
+                width=None, base: int = 0, bucket: Column | None = None) -> DataFrame:
     """exact dense position of each row in its group (``base``-based) and
-    optionally the group size, without putting a group into one task."""
+    optionally the group size, without putting a group into one task.
+    ``bucket`` overrides the bucket expression (must not decrease along
+    ``order``)."""
     keys, order = _listify(keys), _listify(order)
-    b = df.withColumn(_B, _bucket(df, order[0], width))
+    b = df.withColumn(_B, bucket if bucket is not None else _bucket(df, order[0], width))
     w = Window.partitionBy(*keys, _B).orderBy(*order)
     inner = b.withColumn(_RN, F.row_number().over(w))
 
