@@ -83,9 +83,11 @@ def _join_cond(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column
 
 
 def prev_values(df: DataFrame, keys, order, cols, prefix: str = "prev_",
-                width=None, defaults: dict | None = None, bucket: Column | None = None) -> DataFrame:
+                width=None, defaults: dict | None = None, bucket: Column | None = None,
+                ignore_nulls: bool = False) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same
-    group in ``order`` (NULL, or ``defaults[c]``, for the first row).
+    group in ``order`` (NULL, or ``defaults[c]``, for the first row). With
+    ``ignore_nulls`` it is the last earlier non-NULL value of ``c``.
     ``bucket`` overrides the bucket expression; it must not decrease along
     ``order``."""
     keys, order, cols = _listify(keys), _listify(order), _listify(cols)
@@ -93,13 +95,26 @@ def prev_values(df: DataFrame, keys, order, cols, prefix: str = "prev_",
     base = df.withColumn(_B, bucket if bucket is not None else _bucket(df, order[0], width))
     w = Window.partitionBy(*keys, _B).orderBy(*order)
     inner = base.withColumn(_RN, F.row_number().over(w))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
     for c in cols:
-        inner = inner.withColumn(prefix + c, F.lag(c).over(w))
+        inner = inner.withColumn(prefix + c, F.last(c, ignorenulls=True).over(before)
+                                 if ignore_nulls else F.lag(c).over(w))
 
-    last = F.max(F.struct(*[F.col(o) for o in order], *[F.col(c).alias(c) for c in cols]))
-    summary = base.groupBy(*keys, _B).agg(last.alias("__mf_last"))
     ws = Window.partitionBy(*keys).orderBy(_B)
-    summary = summary.select(*keys, _B, F.lag("__mf_last").over(ws).alias("__mf_carry"))
+    if ignore_nulls:
+        # last non-NULL value of each column per bucket, carried over empty buckets
+        lasts = [F.max(F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order],
+                                                             F.col(c).alias("v")))).alias(f"__mf_l{i}")
+                 for i, c in enumerate(cols)]
+        summary = base.groupBy(*keys, _B).agg(*lasts)
+        wb = ws.rowsBetween(Window.unboundedPreceding, -1)
+        summary = summary.select(*keys, _B, *[
+            F.last(F.col(f"__mf_l{i}")["v"], ignorenulls=True).over(wb).alias(f"__mf_c{i}")
+            for i in range(len(cols))])
+    else:
+        last = F.max(F.struct(*[F.col(o) for o in order], *[F.col(c).alias(c) for c in cols]))
+        summary = base.groupBy(*keys, _B).agg(last.alias("__mf_last"))
+        summary = summary.select(*keys, _B, F.lag("__mf_last").over(ws).alias("__mf_carry"))
 
     s = summary.alias("__s")
     i = inner.alias("__i")
@@ -107,9 +122,12 @@ def prev_values(df: DataFrame, keys, order, cols, prefix: str = "prev_",
     out_cols = [F.col(f"__i.`{c}`").alias(c) for c in inner.columns
                 if c not in {_B, _RN} and not any(c == prefix + x for x in cols)]
     prev_cols = []
-    for c in cols:
-        v = F.when(F.col(f"__i.{_RN}") == 1, F.col("__s.__mf_carry")[c]) \
-             .otherwise(F.col(f"__i.`{prefix + c}`"))
+    for k, c in enumerate(cols):
+        own = F.col(f"__i.`{prefix + c}`")
+        if ignore_nulls:
+            v = F.coalesce(own, F.col(f"__s.__mf_c{k}"))
+        else:
+            v = F.when(F.col(f"__i.{_RN}") == 1, F.col("__s.__mf_carry")[c]).otherwise(own)
         if c in defaults:
             v = F.coalesce(v, F.lit(defaults[c]))
         prev_cols.append(v.alias(prefix + c))
