@@ -98,11 +98,12 @@ def valid_ratings(funny: str | Column = "funny", sad: str | Column = "sad") -> C
 # B7 --------------------------------------------------------------------------
 def cast_label_types(df: DataFrame, int_cols=("funny", "sad"), float_cols=("position",)) -> DataFrame:
     """Text -> int ratings and double position; bad text becomes NULL."""
+    from moodframe.functions.parse import parse_int
     out = df
     for c in int_cols:
         if c in df.columns:
             # int("4.0") fails in Python too: parse as an integer only
-            out = out.withColumn(c, F.expr(f"try_cast(trim(`{c}`) AS INT)"))
+            out = out.withColumn(c, parse_int(F.col(c)))
     for c in float_cols:
         if c in df.columns:
             out = out.withColumn(c, F.expr(f"try_cast(trim(`{c}`) AS DOUBLE)"))
