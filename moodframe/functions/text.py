@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
@@ -30,10 +30,13 @@ MAX_WORDS = 150
 MAX_TOKENS = 512
 # ---------------------------------------------------------------------------
 
-# Unicode-aware whitespace (Java's plain \s is ASCII only); the ASCII form
-# is the one an RE2-based engine (DuckDB) has, used where results are checked
-# against such an engine.
-WS = r"(?U)\s+"
+# Whitespace as Python's str.split()/str.strip() know it (str.isspace()).
+PY_WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200b))
+               + "\u2028\u2029\u202f\u205f\u3000")
+WS = r"[\t\n\x0b\f\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+# The ASCII form is what an RE2-based engine (DuckDB) has for \s; it is used
+# where results are checked against such an engine.
+ASCII_WS_CHARS = "\t\n\x0c\r "
 WS_ASCII = r"[\t\n\f\r ]+"
 # Line breaks as Python's str.splitlines() knows them.
 LINE_BREAKS = r"\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]"
@@ -45,9 +48,9 @@ def _c(c: str | Column) -> Column:
 
 
 def utrim(c: str | Column, unicode: bool = True) -> Column:
-    """Strip whitespace at both ends (``str.strip()``; Unicode by default)."""
-    pat = r"(?U)^\s+|\s+\z" if unicode else r"^[\t\n\f\r ]+|[\t\n\f\r ]+\z"
-    return F.regexp_replace(_c(c), pat, "")
+    """Strip whitespace at both ends (``str.strip()``; Unicode by default).
+    A character-set trim, no regex."""
+    return F.btrim(_c(c), F.lit(PY_WS_CHARS if unicode else ASCII_WS_CHARS))
 
 
 def split_lines(text: str | Column, unicode: bool = True) -> Column:
@@ -88,10 +91,18 @@ def dedupe_consecutive(lines: str | Column) -> Column:
     return F.filter(arr, lambda x, i: (i == 0) | (x != F.element_at(arr, i)))
 
 
-def page_text_lines(text: str | Column, phrases: Sequence[str] = IGNORE_PHRASES,
-                    punct: Sequence[str] = PUNCT_LINES, unicode: bool = True) -> Column:
-    """C3-C6 in one expression: raw text -> cleaned, de-duplicated lines."""
-    return dedupe_consecutive(clean_lines(split_lines(text, unicode), phrases, punct, unicode))
+def with_text_lines(df: DataFrame, text: str | Column, out_col: str = "lines",
+                    phrases: Sequence[str] = IGNORE_PHRASES, punct: Sequence[str] = PUNCT_LINES,
+                    unicode: bool = True, split: bool = True) -> DataFrame:
+    """Add ``out_col`` = cleaned, consecutively de-duplicated lines.
+
+    The cleaned array is first materialised as its own column: the
+    de-duplication lambda reads its neighbour, and an inlined expression
+    there would be re-evaluated for every element."""
+    raw = split_lines(text, unicode) if split else _c(text)
+    tmp = "__clean_" + out_col
+    d = df.withColumn(tmp, clean_lines(raw, phrases, punct, unicode))
+    return d.withColumn(out_col, dedupe_consecutive(tmp)).drop(tmp)
 
 
 def safe_name(c: str | Column) -> Column:
@@ -112,3 +123,15 @@ def truncate_tokens(text: str | Column, max_tokens: int = MAX_TOKENS,
     toks = tokens(text, unicode)
     kept = F.slice(toks, 1, max_tokens)
     return F.array_join(kept, " "), F.size(kept), F.size(toks)
+
+
+def explode_positions(df: DataFrame, array_col: str, keep, pos_col: str = "pos",
+                      value_col: str = "value") -> DataFrame:
+    """``posexplode`` of a computed array column without the size filter Spark
+    infers for a plain generator: that filter would be pushed below the
+    projection with the array expression inlined, computing it twice (and
+    quadratically inside a lambda that reads neighbours). Empty arrays give no
+    rows, as with ``posexplode``."""
+    keep = [keep] if isinstance(keep, str) else list(keep)
+    out = df.select(*keep, F.posexplode_outer(array_col).alias(pos_col, value_col))
+    return out.filter(F.col(pos_col).isNotNull())

@@ -68,8 +68,8 @@ def explode_scenes(df: DataFrame, keys: Sequence[str], scenes_col: str = "scenes
     """C9 + F4: one row per scene with 0-based ``scene_idx``, ``n_scenes``,
     ``position = round(i/(n-1), 4)`` (0.0 for a one-scene document) and the
     word count. ``n`` is the array size, so no window is needed."""
-    d = df.select(*keys, F.size(scenes_col).alias("n_scenes"),
-                  F.posexplode(scenes_col).alias("scene_idx", "text"))
+    d = tx.explode_positions(df.withColumn("n_scenes", F.size(scenes_col)), scenes_col,
+                             [*keys, "n_scenes"], "scene_idx", "text")
     return d.select(
         *keys,
         F.col("scene_idx").cast("int").alias("scene_idx"),
@@ -86,8 +86,8 @@ def segment_documents(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text_c
                       punct: Sequence[str] = tx.PUNCT_LINES, unicode: bool = True) -> DataFrame:
     """C3-C9 on plain text: clean lines, pack scenes, one row per scene."""
     ws = tx.WS if unicode else tx.WS_ASCII
-    lines = tx.page_text_lines(text_col, phrases, punct, unicode=unicode)
-    packed = docs.select(*keys, pack_scenes(lines, max_words, ws).alias("scenes"))
+    d = tx.with_text_lines(docs.select(*keys, text_col), text_col, "__lines", phrases, punct, unicode)
+    packed = d.select(*keys, pack_scenes("__lines", max_words, ws).alias("scenes"))
     return explode_scenes(packed, list(keys), "scenes", ws)
 
 
@@ -144,46 +144,55 @@ def _matches(node: _Node, selector: str) -> bool:
 
 
 def _find(node: _Node, tag: str, cls: str | None):
-    stack = [node]
+    """First element in document order with this tag (and class)."""
+    stack = [c for c in reversed(node.children) if isinstance(c, _Node)]
     while stack:
         n = stack.pop()
-        for ch in n.children:
-            if isinstance(ch, _Node):
-                if ch.tag == tag and (cls is None or cls in (ch.attrs.get("class") or "").split()):
-                    return ch
-        stack.extend(reversed([c for c in n.children if isinstance(c, _Node)]))
+        if n.tag == tag and (cls is None or cls in (n.attrs.get("class") or "").split()):
+            return n
+        stack.extend(c for c in reversed(n.children) if isinstance(c, _Node))
     return None
 
 
 def _strip_nodes(node: _Node, selectors: Sequence[str]) -> None:
-    keep = []
-    for ch in node.children:
-        if isinstance(ch, _Node):
-            if any(_matches(ch, s) for s in selectors):
-                continue
-            _strip_nodes(ch, selectors)
-        keep.append(ch)
-    node.children = keep
+    """Drop every element matching a selector, with its subtree."""
+    stack = [node]
+    while stack:
+        n = stack.pop()
+        keep = []
+        for ch in n.children:
+            if isinstance(ch, _Node):
+                if any(_matches(ch, sel) for sel in selectors):
+                    continue
+                stack.append(ch)
+            keep.append(ch)
+        n.children = keep
 
 
 def _strings(node: _Node, out: list[str]) -> None:
-    for ch in node.children:
+    """Stripped, non-empty text pieces below ``node`` in document order."""
+    stack = list(reversed(node.children))
+    while stack:
+        ch = stack.pop()
         if isinstance(ch, _Node):
-            _strings(ch, out)
+            stack.extend(reversed(ch.children))
         else:
-            s = ch.strip()
-            if s:
-                out.append(s)
+            t = ch.strip()
+            if t:
+                out.append(t)
 
 
 def _element_texts(node: _Node, tags: Sequence[str], out: list[str]) -> None:
-    for ch in node.children:
-        if isinstance(ch, _Node):
-            if ch.tag in tags:
-                parts: list[str] = []
-                _strings(ch, parts)
-                out.append("\n".join(parts))
-            _element_texts(ch, tags, out)
+    """Text of every element named in ``tags`` in document order; nested
+    ones are read again on their own."""
+    stack = [c for c in reversed(node.children) if isinstance(c, _Node)]
+    while stack:
+        ch = stack.pop()
+        if ch.tag in tags:
+            parts: list[str] = []
+            _strings(ch, parts)
+            out.append("\n".join(parts))
+        stack.extend(c for c in reversed(ch.children) if isinstance(c, _Node))
 
 
 def html_element_texts(html: str | None, root: tuple[str, str | None] = CONTENT_ROOT,
@@ -236,9 +245,9 @@ def page_lines(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     lines, cleaned and consecutively de-duplicated over the whole page."""
     t = page_element_texts(pages, id_col, html_col, root, selectors)
     brk = tx.LINE_BREAKS if unicode else tx.LINE_BREAKS_ASCII
-    raw = F.flatten(F.transform("texts", lambda s: F.split(s, brk)))
-    lines = tx.dedupe_consecutive(tx.clean_lines(raw, phrases, punct, unicode=unicode))
-    return t.select(id_col, lines.alias("lines"), "error")
+    raw = t.withColumn("__raw", F.flatten(F.transform("texts", lambda s: F.split(s, brk))))
+    out = tx.with_text_lines(raw, "__raw", "lines", phrases, punct, unicode, split=False)
+    return out.select(id_col, "lines", "error")
 
 
 def segment_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",

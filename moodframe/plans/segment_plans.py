@@ -38,15 +38,17 @@ def _docs(spark, sf_dir):
 
 def _lines(spark, sf_dir, stage: int):
     raw = tx.split_lines("text", unicode=False)
-    if stage == 3:
-        arr = F.filter(F.transform(raw, lambda x: tx.utrim(x, False)), lambda x: x != "")
-    elif stage == 4:
-        arr = tx.clean_lines(raw, tx.IGNORE_PHRASES, (), unicode=False)
-    elif stage == 5:
-        arr = tx.clean_lines(raw, tx.IGNORE_PHRASES, tx.PUNCT_LINES, unicode=False)
+    if stage == 6:
+        d = tx.with_text_lines(_docs(spark, sf_dir), "text", "lines", unicode=False)
     else:
-        arr = tx.page_text_lines("text", unicode=False)
-    return _docs(spark, sf_dir).select("doc_id", F.posexplode(arr).alias("line_no", "line")) \
+        if stage == 3:
+            arr = F.filter(F.transform(raw, lambda x: tx.utrim(x, False)), lambda x: x != "")
+        elif stage == 4:
+            arr = tx.clean_lines(raw, tx.IGNORE_PHRASES, (), unicode=False)
+        else:
+            arr = tx.clean_lines(raw, tx.IGNORE_PHRASES, tx.PUNCT_LINES, unicode=False)
+        d = _docs(spark, sf_dir).withColumn("lines", arr)
+    return tx.explode_positions(d, "lines", ["doc_id"], "line_no", "line") \
         .select("doc_id", F.col("line_no").cast("int").alias("line_no"), "line")
 
 
@@ -122,7 +124,7 @@ ARTICLE_ROOT = ("article", None)
 def page_lines(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     pl = sg.page_lines(pages, "page_id", "html", root=ARTICLE_ROOT)
-    return pl.select("page_id", F.posexplode("lines").alias("line_no", "line"))
+    return tx.explode_positions(pl, "lines", ["page_id"], "line_no", "line")
 
 
 @plan("segment_pages")
@@ -146,6 +148,6 @@ FROM p, unnest(p.ps) WITH ORDINALITY AS u(t, i)
 """)
 def strip_irrelevant(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    texts = sg.regex_element_texts("html", "p")
-    return pages.select("page_id", F.posexplode(texts).alias("pos", "text")).select(
+    texts = pages.withColumn("texts", sg.regex_element_texts("html", "p"))
+    return tx.explode_positions(texts, "texts", ["page_id"], "pos", "text").select(
         "page_id", F.col("pos").cast("int").alias("pos"), "text")
