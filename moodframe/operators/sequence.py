@@ -61,10 +61,21 @@ def _bucket(df: DataFrame, col: str, width) -> Column:
     if isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
         w = float(width or DEFAULT_WIDTH_FRACTIONAL)
         return F.floor(c.cast("double") / F.lit(w)).cast("long")
-    # strings and others: one bucket per key (plain window)
+    if isinstance(dt, T.StringType):
+        return string_bucket(col)
+    # other types: one bucket per key (plain window)
     return F.lit(0).cast("long")
 
 
+def string_bucket(col: str, chars: int = 2) -> Column:
+    """Monotone bucket of a string from its first code points (code point
+    order equals UTF-8 byte order, Spark's string order); NULL first."""
+    b = F.lit(0).cast("long")
+    for i in range(1, chars + 1):
+        b = b * F.lit(1 << 21) + F.coalesce(F.ascii(F.substring(F.col(col), i, 1)), F.lit(0)).cast("long")
+    return F.coalesce(b, F.lit(-1).cast("long"))
+
+
 def time_bucket(col: str, width_us: int = DEFAULT_WIDTH_TIME_US, ntz: bool = True,
                 nulls_first: bool = True) -> Column:
     """Bucket of a timestamp column; NULL times go to the first (or last)
