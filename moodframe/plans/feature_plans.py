@@ -158,7 +158,7 @@ def best_run(spark, sf_dir):
     return best.join(F.broadcast(grid), "run").select("model", "best_epoch", _r("best_loss"))
 
 
-@plan("model_name", "WITH " + _grid_sql() + " SELECT run, model FROM grid")
+@plan("param_grid", "WITH " + _grid_sql() + " SELECT run, model FROM grid")
 def model_name_plan(spark, sf_dir):
     # the grid joined to the runs seen in the metric log (every run has rows)
     runs = metric_log(spark, sf_dir).select("run").distinct()

@@ -151,3 +151,16 @@ def strip_irrelevant(spark, sf_dir):
     texts = pages.withColumn("texts", sg.regex_element_texts("html", "p"))
     return tx.explode_positions(texts, "texts", ["page_id"], "pos", "text").select(
         "page_id", F.col("pos").cast("int").alias("pos"), "text")
+
+
+# C6 as a row-level flag (for documents too large to keep in one row) ----------
+@plan("lag_dup_flag", "WITH " + LINES_SQL + """,
+x AS (SELECT doc_id, CAST(u.i - 1 AS INTEGER) AS line_no, u.line FROM c5, unnest(c5.l) WITH ORDINALITY AS u(line, i))
+SELECT doc_id, line_no, coalesce(line = lag(line) OVER (PARTITION BY doc_id ORDER BY line_no), false) AS is_dup
+FROM x
+""")
+def lag_dup_flag(spark, sf_dir):
+    from moodframe.operators import sequence
+    lines = _lines(spark, sf_dir, 5)
+    d = sequence.prev_values(lines, ["doc_id"], ["line_no"], ["line"], prefix="prev_")
+    return d.select("doc_id", "line_no", F.coalesce(F.col("line") == F.col("prev_line"), F.lit(False)).alias("is_dup"))
