@@ -85,8 +85,9 @@ def segment_documents(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text_c
                       max_words: int = tx.MAX_WORDS, phrases: Sequence[str] = tx.IGNORE_PHRASES,
                       punct: Sequence[str] = tx.PUNCT_LINES, unicode: bool = True) -> DataFrame:
     """C3-C9 on plain text: clean lines, pack scenes, one row per scene."""
+    from moodframe.session import spread
     ws = tx.WS if unicode else tx.WS_ASCII
-    d = tx.with_text_lines(docs.select(*keys, text_col), text_col, "__lines", phrases, punct, unicode)
+    d = tx.with_text_lines(spread(docs.select(*keys, text_col)), text_col, "__lines", phrases, punct, unicode)
     packed = d.select(*keys, pack_scenes("__lines", max_words, ws).alias("scenes"))
     return explode_scenes(packed, list(keys), "scenes", ws)
 
@@ -232,7 +233,8 @@ def page_element_texts(pages: DataFrame, id_col: str = "page_id", html_col: str
             yield pd.DataFrame({id_col: pdf[id_col], "texts": [r[0] for r in res],
                                 "error": [r[1] for r in res]})
 
-    return pages.select(id_col, html_col).mapInPandas(
+    from moodframe.session import spread
+    return spread(pages.select(id_col, html_col)).mapInPandas(
         run, f"{id_col} {id_type}, texts array<string>, error string")
 
 

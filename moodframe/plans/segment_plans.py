@@ -33,7 +33,8 @@ FROM {sql_cte}, unnest({sql_cte}.l) WITH ORDINALITY AS u(line, i)"""
 
 
 def _docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    from moodframe.session import spread
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def _lines(spark, sf_dir, stage: int):
