@@ -8,8 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moodframe.llm import fingerprints as fp
 from moodframe.llm import pii, quality
-from moodframe.llm.common import table
+from moodframe.llm.common import stored, table
+from moodframe.llm.neighbours import with_next
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,3 +48,69 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
     return quality.judge_quality(docs, model)
+
+
+_SUBSETS = ", ".join(f"({k}, '{fp.cutoff(r)}')" for k, r in enumerate(fp.RATES))
+
+
+@query("op6_fingerprints", f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+e AS (SELECT doc_id, text,
+        coalesce(lead(text) OVER w, first_value(text) OVER w) AS next_text,
+        coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS next_id
+      FROM d WINDOW w AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+versions AS (
+  SELECT doc_id, 0 AS kind, text FROM e
+  UNION ALL
+  SELECT doc_id, 1, left(text, length(text) - length(text) // 2) || left(next_text, length(text) // 2) FROM e),
+words AS (SELECT DISTINCT doc_id, kind, unnest(regexp_split_to_array(lower(text), '{fp.SEPARATOR}')) AS term FROM versions),
+terms AS (SELECT * FROM words WHERE term <> ''),
+n AS (SELECT count(*) AS n FROM documents),
+lexicon AS (SELECT term FROM terms WHERE kind = 0 GROUP BY term
+  HAVING count(*) BETWEEN greatest(2, (SELECT ceil({fp.LOW} * n) FROM n)) AND greatest(2, (SELECT floor({fp.HIGH} * n) FROM n))),
+used AS (SELECT t.*, sha256(term) AS h FROM terms t WHERE term IN (SELECT term FROM lexicon)),
+subsets(k, cutoff) AS (VALUES {_SUBSETS}),
+hashes AS (
+  SELECT doc_id, kind, k, left(md5(string_agg(term, ' ' ORDER BY term)), 8) AS h
+  FROM used, subsets WHERE substr(used.h, (2 * k + 1)::INT, 2) < cutoff GROUP BY doc_id, kind, k
+  UNION ALL
+  SELECT doc_id, kind, -1, left(md5(string_agg(term, ' ' ORDER BY term)), 8) FROM terms GROUP BY doc_id, kind),
+every AS (SELECT v.doc_id, v.kind, s.k, coalesce(h.h, '{fp.EMPTY}') AS h
+  FROM versions v CROSS JOIN (SELECT k FROM subsets UNION ALL SELECT -1) s
+  LEFT JOIN hashes h ON h.doc_id = v.doc_id AND h.kind = v.kind AND h.k = s.k),
+prints AS (SELECT doc_id, kind, string_agg(h, ' ' ORDER BY k) AS p FROM every GROUP BY doc_id, kind),
+near AS (SELECT a.doc_id,
+    CASE WHEN count(*) FILTER (a.h <> '{fp.EMPTY}' OR x.h <> '{fp.EMPTY}') = 0 THEN 1.0::DOUBLE
+      ELSE count(*) FILTER (a.h = x.h AND a.h <> '{fp.EMPTY}') / count(*) FILTER (a.h <> '{fp.EMPTY}' OR x.h <> '{fp.EMPTY}') END AS near_edited,
+    CASE WHEN count(*) FILTER (a.h <> '{fp.EMPTY}' OR y.h <> '{fp.EMPTY}') = 0 THEN 1.0::DOUBLE
+      ELSE count(*) FILTER (a.h = y.h AND a.h <> '{fp.EMPTY}') / count(*) FILTER (a.h <> '{fp.EMPTY}' OR y.h <> '{fp.EMPTY}') END AS near_next
+  FROM every a JOIN e ON e.doc_id = a.doc_id
+  JOIN every x ON x.doc_id = a.doc_id AND x.k = a.k AND x.kind = 1
+  JOIN every y ON y.doc_id = e.next_id AND y.k = a.k AND y.kind = 0
+  WHERE a.kind = 0 GROUP BY a.doc_id)
+SELECT e.doc_id, length(e.text) AS n_chars, sha256(v.text) AS edited_sha256,
+  p.p AS fingerprint, q.p AS edited_fingerprint, near_edited, near_next
+FROM e JOIN versions v ON v.doc_id = e.doc_id AND v.kind = 1
+JOIN prints p ON p.doc_id = e.doc_id AND p.kind = 0
+JOIN prints q ON q.doc_id = e.doc_id AND q.kind = 1
+JOIN near ON near.doc_id = e.doc_id
+""")
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    pairs = with_next(docs, "doc_id", ["doc_id", "text"], tie="text").select(
+        "doc_id", "text", F.sha2("text", 256).alias("own"), F.length("text").cast("long").alias("n_chars"),
+        F.col("next.doc_id").alias("next_id"), F.sha2("next.text", 256).alias("next_own"),
+        F.concat(F.expr("left(text, length(text) - length(text) div 2)"),
+                 F.expr("left(next.text, length(text) div 2)")).alias("edited"))
+    keys = ["doc_id", "own", "n_chars", "next_id", "next_own", "edited_sha256"]
+    found = stored(fp.fingerprints(pairs.withColumn("edited_sha256", F.sha2("edited", 256)),
+                                   fp.lexicon(docs), keys, ["text", "edited"]), "fingerprints")
+    following = found.select(F.col("doc_id").alias("next_id"), F.col("own").alias("next_own"),
+                             F.col("text_hashes").alias("next_hashes")).dropDuplicates(["next_id", "next_own"])
+    both = found.join(following, found.next_id.eqNullSafe(following.next_id) & (found.next_own == following.next_own))
+    return both.select(
+        "doc_id", "n_chars", "edited_sha256", F.concat_ws(" ", "text_hashes").alias("fingerprint"),
+        F.concat_ws(" ", "edited_hashes").alias("edited_fingerprint"),
+        fp.likeness(F.col("text_hashes"), F.col("edited_hashes")).alias("near_edited"),
+        fp.likeness(F.col("text_hashes"), F.col("next_hashes")).alias("near_next"),
+        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
