@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodframe.llm.common import WORD, stored, uniform
+from moodframe.llm.common import WORD, stored
 
 WEIGHTS, BUDGET, MOST = (3, 1, 2), 1.5, 2.0
 #: Rows of a group, on average.
@@ -85,3 +85,81 @@ def _fold(items: str, level: int, seed: int) -> Column:
                 named_struct('open', named_struct('key', s.open.key, 'occ', s.open.occ, 'size', s.open.size, 'mass', s.open.mass - m.down),
                   'done', array_append(s.done, named_struct('key', x.key, 'occ', x.occ, 'size', x.size, 'extra', 1))))))[0]))
     """)
+
+
+def _groups(open_rows: DataFrame, level: int, seed: int) -> tuple[DataFrame, int]:
+    """Deal the open rows of each source into groups at random, fold each group
+    and store (source, open, done). Returns it and the most groups of a source."""
+    counts = open_rows.groupBy("source").agg(F.count("*").alias("rows"))
+    counts = counts.withColumn("groups", F.greatest(F.lit(1), F.ceil(F.col("rows") / GROUP)).cast("long"))
+    most = counts.agg(F.max("groups")).first()[0] or 0
+    dealt = open_rows.alias("o").join(counts.alias("c"), F.col("o.source").eqNullSafe(F.col("c.source"))).select(
+        F.col("o.source").alias("source"), F.col("o.item").alias("item"),
+        F.pmod(F.xxhash64(F.lit(seed), F.lit(level), F.lit("group"), "o.item.key", "o.item.occ"), F.col("c.groups")).alias("part"),
+        # large documents meet first, so that the one left open at the end tends to be small
+        F.struct(-F.col("o.item.size"), F.xxhash64(F.lit(seed), F.lit(level), "o.item.key", "o.item.occ")).alias("turn"))
+    folded = dealt.groupBy("source", "part").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("turn", "item"))), lambda x: x["item"]).alias("items"))
+    return stored(folded.select("source", _fold("items", level, seed).alias("f")).select("source", "f.*"), "mix"), most
+
+
+def mix(units: DataFrame, key_col: str = "key", source_col: str = "source", size_col: str = "size",
+        weights=WEIGHTS, budget: float = BUDGET, most: float = MOST, seed: int = 8) -> DataFrame:
+    """Copies to take of each unit.
+
+    Returns one row per row of ``units``: key, source, occ (1.. among rows with
+    the same key, source and size), size, source_size, target, copies. Copies are
+    0 to ``ceil(most)`` and the copies' sizes of a source add up to its target
+    within one unit's size. Rows of size 0 (or null) get 0 copies. Keys and
+    sources may be null; repeated rows are units of their own; other columns are
+    not read. An empty table gives an empty result.
+    """
+    rows = units.select(F.col(key_col).cast("string").alias("key"), F.col(source_col).alias("source"),
+                        F.coalesce(F.col(size_col).cast("long"), F.lit(0)).alias("size"))
+    counted = stored(rows.groupBy("source", "key", "size").agg(F.count("*").alias("n")), "mix-sizes")
+    sizes = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
+    targets = source_targets(sizes, weights, budget, most)
+    share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    targets = targets.withColumn("sure", F.floor(share).cast("int")).withColumn("rest", share - F.floor(share))
+    units_ = counted.alias("u").join(targets.alias("t"), F.col("u.source").eqNullSafe(F.col("t.source"))).select(
+        F.col("u.source").alias("source"), "key", "size", "source_size", "target", "sure", "rest",
+        F.explode(F.sequence(F.lit(1), F.col("n"))).alias("occ"))
+    item = F.struct("key", "occ", "size", (F.col("rest") * F.col("size")).alias("mass"))
+    open_rows = units_.filter((F.col("size") > 0) & (F.col("rest") > 0)).select("source", item.alias("item"))
+    done, level = [], 0
+    while True:
+        folded, groups = _groups(open_rows, level, seed)
+        done.append(folded.select("source", F.explode("done").alias("d")).select(
+            "source", "d.key", "d.occ", "d.size", "d.extra"))
+        open_rows = folded.filter("open is not null").select("source", F.col("open").alias("item"))
+        if groups <= 1:
+            break
+        level += 1
+    # one document per source is left; the nearer end keeps the source nearest to its target
+    last = F.col("item.mass") * 2 >= F.col("item.size")
+    done.append(open_rows.select("source", "item.key", "item.occ", "item.size", last.cast("int").alias("extra")))
+    decided = done[0]
+    for d in done[1:]:
+        decided = decided.unionByName(d)
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("source", "key")] + [
+        F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("occ", "size")]
+    return units_.alias("a").join(decided.alias("b"), same, "left").select(
+        "a.key", "a.source", "a.occ", "a.size", "a.source_size", "a.target",
+        F.when(F.col("a.size") > 0, F.col("a.sure") + F.coalesce("b.extra", F.lit(0))).otherwise(0).alias("copies"))
+
+
+def take(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """``docs`` with every row repeated ``copies`` times, from rows (key, occ,
+    copies) whose key is ``row_key(docs)``; all columns of ``docs`` are kept."""
+    w = Window.partitionBy("key").orderBy(F.lit(1))
+    keyed = docs.select(row_key(docs).alias("key"), F.struct(*docs.columns).alias("row"))
+    times = copies.groupBy("key").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    return (keyed.withColumn("occ", F.row_number().over(w)).join(times, "key")
+            # rows with one key are identical: the first takes what the division leaves
+            .withColumn("n", F.expr("copies div rows + if(occ <= copies % rows, 1, 0)").cast("int"))
+            .filter("n > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i")).select("row.*"))
+
+
+def row_key(docs: DataFrame) -> Column:
+    """A name of a whole row: equal for identical rows only."""
+    return F.sha2(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"}), 256)

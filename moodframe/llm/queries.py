@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodframe.llm import fingerprints as fp
-from moodframe.llm import pii, quality
+from moodframe.llm import mixing, packing, pii, quality
 from moodframe.llm.common import stored, table
 from moodframe.llm.neighbours import with_next
 
@@ -26,6 +27,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_packing")
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), str(path), with_ids=False)
+
+
 @query("op5_pii")
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
@@ -114,3 +121,12 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fp.likeness(F.col("text_hashes"), F.col("edited_hashes")).alias("near_edited"),
         fp.likeness(F.col("text_hashes"), F.col("next_hashes")).alias("near_next"),
         F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+
+
+@query("op8_mixing")
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    units = docs.select(F.col("doc_id").cast("string").alias("key"), "source", mixing.word_count(F.col("text")).alias("size"))
+    return mixing.mix(units).select(
+        F.col("key").cast("long").alias("doc_id"), "size", "source_size", "target",
+        (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
