@@ -73,19 +73,21 @@ versions AS (
 words AS (SELECT DISTINCT doc_id, kind, unnest(regexp_split_to_array(lower(text), '{fp.SEPARATOR}')) AS term FROM versions),
 terms AS (SELECT * FROM words WHERE term <> ''),
 n AS (SELECT count(*) AS n FROM documents),
+subsets(k, cutoff) AS (VALUES {_SUBSETS}),
 lexicon AS (SELECT term FROM terms WHERE kind = 0 GROUP BY term
   HAVING count(*) BETWEEN greatest(2, (SELECT ceil({fp.LOW} * n) FROM n)) AND greatest(2, (SELECT floor({fp.HIGH} * n) FROM n))),
 used AS (SELECT t.*, sha256(term) AS h FROM terms t WHERE term IN (SELECT term FROM lexicon)),
-subsets(k, cutoff) AS (VALUES {_SUBSETS}),
+entries AS (SELECT doc_id, kind, h, ('0x' || substr(h, 57, 8))::BIGINT % {1 << 31} * {1 << 32} + (
+  SELECT sum((substr(h, (2 * k + 1)::INT, 2) < cutoff)::BIGINT * (1::BIGINT << k)) FROM subsets)::BIGINT AS entry FROM used),
 hashes AS (
-  SELECT doc_id, kind, k, left(md5(string_agg(term, ' ' ORDER BY term)), 8) AS h
-  FROM used, subsets WHERE substr(used.h, (2 * k + 1)::INT, 2) < cutoff GROUP BY doc_id, kind, k
+  SELECT doc_id, kind, k, left(md5(string_agg(entry::VARCHAR, ' ' ORDER BY entry)), 8) AS h
+  FROM entries, subsets WHERE substr(h, (2 * k + 1)::INT, 2) < cutoff GROUP BY doc_id, kind, k
   UNION ALL
   SELECT doc_id, kind, -1, left(md5(string_agg(term, ' ' ORDER BY term)), 8) FROM terms GROUP BY doc_id, kind),
 every AS (SELECT v.doc_id, v.kind, s.k, coalesce(h.h, '{fp.EMPTY}') AS h
   FROM versions v CROSS JOIN (SELECT k FROM subsets UNION ALL SELECT -1) s
   LEFT JOIN hashes h ON h.doc_id = v.doc_id AND h.kind = v.kind AND h.k = s.k),
-prints AS (SELECT doc_id, kind, string_agg(h, ' ' ORDER BY k) AS p FROM every GROUP BY doc_id, kind),
+prints AS (SELECT doc_id, kind, string_agg(h, '' ORDER BY k) AS p FROM every GROUP BY doc_id, kind),
 near AS (SELECT a.doc_id,
     CASE WHEN count(*) FILTER (a.h <> '{fp.EMPTY}' OR x.h <> '{fp.EMPTY}') = 0 THEN 1.0::DOUBLE
       ELSE count(*) FILTER (a.h = x.h AND a.h <> '{fp.EMPTY}') / count(*) FILTER (a.h <> '{fp.EMPTY}' OR x.h <> '{fp.EMPTY}') END AS near_edited,
@@ -104,20 +106,22 @@ JOIN near ON near.doc_id = e.doc_id
 """)
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+    def name(doc_id, text):
+        return F.unhex(F.md5(F.concat_ws(":", doc_id, text)))
+
     pairs = with_next(docs, "doc_id", ["doc_id", "text"], tie="text").select(
-        "doc_id", "text", F.sha2("text", 256).alias("own"), F.length("text").cast("long").alias("n_chars"),
-        F.col("next.doc_id").alias("next_id"), F.sha2("next.text", 256).alias("next_own"),
+        "doc_id", "text", F.length("text").cast("long").alias("n_chars"),
+        name(F.col("doc_id"), F.col("text")).alias("own"), name(F.col("next.doc_id"), F.col("next.text")).alias("following"),
         F.concat(F.expr("left(text, length(text) - length(text) div 2)"),
                  F.expr("left(next.text, length(text) div 2)")).alias("edited"))
-    keys = ["doc_id", "own", "n_chars", "next_id", "next_own", "edited_sha256"]
-    found = stored(fp.fingerprints(pairs.withColumn("edited_sha256", F.sha2("edited", 256)),
+    keys = ["doc_id", "n_chars", "own", "following", "edited_sha256"]
+    found = stored(fp.fingerprints(pairs.withColumn("edited_sha256", F.unhex(F.sha2("edited", 256))),
                                    fp.lexicon(docs), keys, ["text", "edited"]), "fingerprints")
-    following = found.select(F.col("doc_id").alias("next_id"), F.col("own").alias("next_own"),
-                             F.col("text_hashes").alias("next_hashes")).dropDuplicates(["next_id", "next_own"])
-    both = found.join(following, found.next_id.eqNullSafe(following.next_id) & (found.next_own == following.next_own))
-    return both.select(
-        "doc_id", "n_chars", "edited_sha256", F.concat_ws(" ", "text_hashes").alias("fingerprint"),
-        F.concat_ws(" ", "edited_hashes").alias("edited_fingerprint"),
+    others = found.select(F.col("own").alias("following"), F.col("text_hashes").alias("next_hashes")).dropDuplicates(["following"])
+    return found.join(others, "following").select(
+        "doc_id", "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"), F.col("text_hashes").alias("fingerprint"),
+        F.col("edited_hashes").alias("edited_fingerprint"),
         fp.likeness(F.col("text_hashes"), F.col("edited_hashes")).alias("near_edited"),
         fp.likeness(F.col("text_hashes"), F.col("next_hashes")).alias("near_next"),
         F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
