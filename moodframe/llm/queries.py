@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodframe.llm import fingerprints as fp
-from moodframe.llm import mixing, packing, pii, quality
+from moodframe.llm import html, lines, mixing, neardup, packing, pii, quality
 from moodframe.llm.common import stored, table
 from moodframe.llm.neighbours import with_next
 
@@ -134,3 +134,19 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(units).select(
         F.col("key").cast("long").alias("doc_id"), "size", "source_size", "target",
         (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
+
+
+@query("op4_neardup")
+def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_lines")
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs)
+
+
+@query("op10_html")
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
