@@ -205,20 +205,39 @@ def similar_texts(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, D
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``class_id`` (the lowest id of the group
     of texts that links connect, a text's exact copies included) and ``kept``
-    (true for one row of each class, the lowest id).
+    (true for one row of each class, the one with the lowest id).
 
-    Null texts are in no class: ``class_id`` is their own id and they are kept.
+    Null texts are in no class: their ``class_id`` is null and they are kept.
     Texts without words are alike only if equal. Of rows with one id and text,
     one is kept. Null ids count as the highest. Other columns are not read. An
     empty table gives an empty result.
     """
-    _, classes = similar_texts(docs, text_col)
-    named = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text_col)).alias("node")).join(classes, "node", "left")
-    named = named.withColumn("class", F.coalesce("component", "node"))
-    # min skips null ids; a class of null ids only has a null class_id
-    least = named.filter("class is not null").groupBy("class").agg(F.min("id").alias("class_id"))
-    w = Window.partitionBy("class", "id").orderBy("node")
-    rows = named.join(least, "class", "left").withColumn("nth", F.when(
-        F.col("class").isNotNull() & F.col("id").eqNullSafe(F.col("class_id")), F.row_number().over(w)))
-    return rows.select(F.col("id").alias(id_col), F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
-                       (F.col("class").isNull() | (F.coalesce("nth", F.lit(0)) == 1)).alias("kept"))
+    judged = _judged(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    return judged.select(F.col("id").alias(id_col), F.col("first.id").alias("class_id"), "kept")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all columns."""
+    return _judged(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*docs.columns).alias("row"))
+                   ).filter("kept").select("row.*")
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """Rows (id, text, ...) with ``first``, the lowest (id, node) of the class, and ``kept``."""
+    _, classes = similar_texts(docs)
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "node")
+    named = docs.withColumn("node", F.unhex(F.md5("text")))
+    members = named.filter("node is not null").select("id", "node").distinct().join(classes, "node", "left").withColumn(
+        "class", F.coalesce("component", "node"))
+    firsts = members.groupBy("class").agg(F.min(rank).alias("first"))
+    members = members.join(firsts, "class").select("node", _id_key("id"), "first", (rank == F.col("first")).alias("leads"))
+    # rows are numbered and joined by the same two columns, so they are shuffled once
+    w = Window.partitionBy("node", "id_key").orderBy(F.lit(1))
+    numbered = named.withColumn("id_key", _id_key("id")).withColumn("nth", F.row_number().over(w))
+    return numbered.join(members, ["node", "id_key"], "left").withColumn(
+        "kept", F.col("node").isNull() | (F.col("leads") & (F.col("nth") == 1)))
+
+
+def _id_key(id_col: str):
+    """A string for an id that is never null, so that joins on it stay plain."""
+    return F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("")).alias("id_key")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodframe.llm import fingerprints as fp
-from moodframe.llm import html, lines, mixing, neardup, packing, pii, quality
+from moodframe.llm import chat, html, lines, mixing, neardup, packing, pii, quality
 from moodframe.llm.common import stored, table
 from moodframe.llm.neighbours import with_next
 
@@ -150,3 +150,9 @@ def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_html")
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op3_chat")
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return chat.recover_roles(turns, chat.fit_roles(turns))
