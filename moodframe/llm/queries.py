@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodframe.llm import fingerprints as fp
-from moodframe.llm import chat, html, lines, mixing, neardup, packing, pii, quality
+from moodframe.llm import chat, html, lines, mixing, neardup, packing, pii, quality, substrings
 from moodframe.llm.common import stored, table
 from moodframe.llm.neighbours import with_next
 
@@ -156,3 +156,8 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     return chat.recover_roles(turns, chat.fit_roles(turns))
+
+
+@query("op2_substrings")
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
