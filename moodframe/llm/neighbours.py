@@ -46,11 +46,13 @@ def with_next(df: DataFrame, id_col: str, carried: list[str], tie: str) -> DataF
     tops = F.lit([heads.get(b, 0) for b in range(size)])
     targets = F.lit([above.get(b, 0) for b in range(size)])
 
-    placed = df.select(F.struct(*df.columns).alias("row"), key.alias("k"), F.col(tie).alias("t"), bucket.alias("b"))
-    own = F.struct(F.col("b").alias("part"), F.lit(0).alias("extra"))
-    closing = F.struct(F.get(targets, F.col("b")).alias("part"), F.lit(1).alias("extra"))
-    dealt = placed.select("row", "k", "t", F.explode(
-        F.when(F.get(tops, F.col("b")) == F.col("k"), F.array(own, closing)).otherwise(F.array(own))).alias("at"))
-    w = Window.partitionBy("at.part").orderBy("at.extra", F.desc("k"), "t")
-    carry = F.struct(*(F.col(f"row.{c}").alias(c) for c in carried))
-    return (dealt.withColumn("next", F.lead(carry).over(w)).filter("at.extra = 0").select("row.*", "next"))
+    placed = df.select("*", key.alias("__key"), bucket.alias("__b"))
+    own = F.struct(F.col("__b").alias("part"), F.lit(0).alias("extra"))
+    closing = F.struct(F.get(targets, F.col("__b")).alias("part"), F.lit(1).alias("extra"))
+    dealt = placed.select(*df.columns, "__key", F.explode(F.when(
+        F.get(tops, F.col("__b")) == F.col("__key"), F.array(own, closing)).otherwise(F.array(own))).alias("__at"))
+    # plain columns only: whatever a window has to compute is shuffled as a further copy
+    flat = dealt.select(*df.columns, "__key", F.col("__at.part").alias("__part"), F.col("__at.extra").alias("__extra"))
+    w = Window.partitionBy("__part").orderBy("__extra", F.desc("__key"), tie)
+    led = flat.select("*", *(F.lead(c).over(w).alias(f"__next_{c}") for c in carried)).filter("__extra = 0")
+    return led.select(*df.columns, F.struct(*(F.col(f"__next_{c}").alias(c) for c in carried)).alias("next"))
