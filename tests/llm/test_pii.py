@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+from helpers import awkward, empty
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from moodframe.llm import pii, queries
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def plain(text):
+    """The base kinds by their patterns as they stand."""
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    out = [("email", *m.span()) for m in EMAIL.finditer(text)]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+    out += [("card", *m.span()) for m in CARD.finditer(text) if 13 <= len(digits(m[0])) <= 19 and pii.luhn(digits(m[0]))]
+    out += [("phone", *m.span()) for m in PHONE.finditer(text) if 9 <= len(digits(m[0])) <= 15]
+    return out
+
+
+def base(text):
+    return [(s["kind"], s["start"], s["end"]) for s in pii.spans(text) if s["kind"] in pii.BASE]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.text(alphabet="aA1290@.+-_% ()\né\U0001f600", max_size=60))
+def test_base_spans_are_the_patterns(text):
+    assert base(text) == plain(text)
+
+
+@pytest.mark.parametrize("text", [
+    "a@b.c", "a@b", "a@b@c.de", "x..@y-.z.", "1.2.3.4.5.6.7.8", "256.1.1.1 1.1.1.255", "0001.02.3.4", "4111 1111 1111 1111",
+    "4111-1111-1111-1112", "+1 (988) 555-2485", "+1 2", "+123456789012345678", "4111111111111111.4111111111111111", "1.1.1.4111111111111111"])
+def test_base_cases(text):
+    assert base(text) == plain(text)
+
+
+def test_luhn_and_mod97():
+    assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
+    assert pii.mod97("DE89370400440532013000") and not pii.mod97("DE89370400440532013001")
+
+
+def test_added_kinds_need_checksum_or_context():
+    kinds = lambda t: [s["kind"] for s in pii.spans(t)]
+    assert kinds("IBAN DE89 3704 0044 0532 0130 00 ok") == ["iban"]
+    assert kinds("DE89 3704 0044 0532 0130 01") == []
+    assert kinds("SSN: 123-45-6789") == ["ssn"] and kinds("part 123-45-6789") == []
+
+
+@pytest.mark.parametrize("text", ["1" * 300_000, "a" * 300_000, "1." * 150_000, "a@" * 150_000, "+" * 300_000, "1 " * 150_000])
+def test_long_runs_are_linear(text):
+    pii.spans(text)
+
+
+def test_context_moves_the_score():
+    near, bare = pii.spans("my phone is +1 (988) 555-2485")[0], pii.spans("zzz +1 (988) 555-2485")[0]
+    assert near["score"] > bare["score"]
+
+
+def test_awkward_rows_and_redaction(spark):
+    docs = awkward(spark)
+    assert pii.find_pii(docs).count() == docs.count()
+    assert pii.redact(docs).columns == docs.columns
+    some = spark.createDataFrame([(1, "mail a.b@c.de now", 1), (2, None, 2)], "doc_id long, text string, pii int")
+    assert [tuple(r) for r in pii.redact(some).orderBy("doc_id").collect()] == [(1, "mail <EMAIL> now", 1), (2, None, 2)]
+
+
+def test_empty_table(spark):
+    assert pii.find_pii(empty(spark)).count() == 0
+
+
+def test_query_against_patterns(spark, tmp_path):
+    import hashlib
+    docs = awkward(spark).unionByName(spark.createDataFrame(
+        [(50, "x a@b.co 10.0.0.1 no 4111 1111 1111 1111 +1 (988) 555-2485", "en", "a", 1)], "doc_id long, text string, lang string, source string, n_chars long"),
+        allowMissingColumns=True)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for r in queries.QUERIES["op5_pii"](spark, str(tmp_path)).filter("doc_id = 50").collect():
+        found = plain("x a@b.co 10.0.0.1 no 4111 1111 1111 1111 +1 (988) 555-2485")
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in found)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest() and r.spans == joined
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == (1, 1, 1, 1)
