@@ -15,9 +15,12 @@ has about ``GROUP`` documents, however many there are in all.
 from __future__ import annotations
 
 import os
+import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +31,16 @@ from pyspark.sql import functions as F
 CAPACITY, END_ID, GROUP = 4096, 2, 1024
 #: Words whose ids a task remembers before it starts anew.
 REMEMBERED = 1_000_000
+MARKS = ".,;:!?"
+ODD = re.compile("[\x1c-\x1f]")
 
 
 class Ids:
     """Token ids of texts. The tokenizer splits at white space before anything
-    else, so a text's ids are its words' ids in turn and words are remembered."""
+    else, so a text's ids are its words' ids in turn, and words are remembered.
+    It also parts letters from other characters and ignores case, so a new word
+    of letters and closing marks is put together from its lower-cased letters
+    and its marks; new letter runs are encoded many at a time."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
@@ -41,20 +49,66 @@ class Ids:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        # words may be put together if the tokenizer keeps letter runs whole and apart from marks
+        probe = self.tokenizer.encode("Ab, \u00e9a b.", add_special_tokens=False).word_ids
+        self.parts = probe is not None and sorted(set(probe)) == [0, 1, 2, 3, 4] and self._one("Ab") == self._one("ab")
+
+    @staticmethod
+    def of_worker(path: str) -> Ids:
+        """One per Python worker process, so that later tasks know the words of earlier ones."""
+        kept = sys.__dict__.setdefault("_moodframe_ids", {})
+        if path not in kept:
+            kept[path] = Ids(path)
+        return kept[path]
+
+    def _one(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+
+    def _letters(self, new: set[str]) -> None:
+        """Encode letter runs together; each is one word to the tokenizer."""
+        runs = sorted(new)
+        for at in range(0, len(runs), 500):
+            part = runs[at:at + 500]
+            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids, owner = np.array(e.ids, dtype=self.kind), np.array(e.word_ids)
+            ends = np.searchsorted(owner, np.arange(len(part)), side="right").tolist()
+            data, size, begin = ids.tobytes(), self.kind.itemsize, 0
+            for w, end in zip(part, ends, strict=True):
+                self.letters[w] = data[begin * size:end * size]
+                begin = end
+
+    def _learn(self, new: set[str]) -> None:
+        split = {}
+        if self.parts:
+            for w in new:
+                bare = w.rstrip(MARKS)
+                run = bare.lower()
+                if run.isalpha() and len(run) == len(bare) and "\u03c3" not in run and "\u03c2" not in run and is_normalized("NFC", run):
+                    split[w] = run
+            self._letters({r for r in split.values() if r not in self.letters})
+        other = [w for w in new if w not in split]
+        for at in range(0, len(other), 10_000):
+            part = other[at:at + 10_000]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.known[w] = np.array(e.ids, dtype=self.kind).tobytes()
+        for w, run in split.items():
+            marks = w[len(run):]  # lower case keeps the length, or the run was not taken
+            if marks and marks not in self.known:
+                self.known[marks] = self._one(marks)
+            self.known[w] = self.letters[run] + self.known[marks] if marks else self.letters[run]
 
     def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
         # str.split() also splits at \x1c-\x1f, which the tokenizer does not call white space
-        odd = str.maketrans(dict.fromkeys(map(chr, range(0x1c, 0x20))))
-        split = [[t] if t and len(t.translate(odd)) != len(t) else (t or "").split() for t in texts]
+        split = [[t] if t and ODD.search(t) else (t or "").split() for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list({w for words in split for w in words if w not in self.known})
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, dtype=self.kind).tobytes()
-        end = np.array([end_id], dtype=self.kind).tobytes()
-        return [b"".join(map(self.known.__getitem__, words)) + end for words in split]
+            self.known, self.letters = {}, {}
+        new: set[str] = set()
+        for words in split:
+            new.update(words)
+        self._learn(new.difference(self.known))
+        end, known = np.array([end_id], dtype=self.kind).tobytes(), self.known.__getitem__
+        return [b"".join(map(known, words)) + end for words in split]
 
 
 class Rooms:
@@ -145,7 +199,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     kind = docs.schema[id_col].dataType.simpleString()
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, seen = Ids(tokenizer_path), Counter()
+        ids, seen = Ids.of_worker(tokenizer_path), Counter()
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 b = batch.slice(at, 1000)
