@@ -81,8 +81,9 @@ def episode_from_stem(stem: str | Column) -> Column:
 
 
 def path_parts(path: str | Column) -> tuple[Column, Column]:
-    """(parent folder name, file stem) of a path."""
-    p = _c(path)
+    """(parent folder name, file stem) of a path as ``_metadata.file_path`` gives
+    it, that is URL-encoded (a plus sign stands for itself there)."""
+    p = F.url_decode(F.replace(_c(path), F.lit("+"), F.lit("%2B")))
     folder = F.regexp_extract(p, r"([^/]+)/[^/]+$", 1)
     stem = F.regexp_extract(p, r"([^/]+?)(\.[^./]*)?$", 1)
     return folder, stem

@@ -3,8 +3,7 @@
 Each episode row carries its ordered scene ids: an episode's scenes are cut
 from one page, so the list is bounded by that page. Seasons are *not*
 collected into one row each (a season list grows with the data); instead
-every episode gets its rank inside its season and every season its rank,
-both from the two-level dense index.
+every episode gets its rank inside its season and every season its rank.
 """
 
 from __future__ import annotations
@@ -26,16 +25,16 @@ def catalogue(scenes: DataFrame, season: str = "season", episode: str = "episode
     eps = eps.withColumn("scene_ids", F.transform("__s", lambda x: x["id"])).drop("__s") \
              .withColumn("n_scenes", F.size("scene_ids"))
     eps = sequence.dense_index(eps, [season], [episode], index_col="episode_rank", count_col="n_episodes",
-                               base=1, width=1024)
-    seasons = eps.select(season).distinct()
-    seasons = sequence.dense_index(seasons, [], [season], index_col="season_rank", count_col=None, base=1, width=1)
+                               base=1)
+    seasons = scenes.select(season).distinct()
+    seasons = sequence.dense_index(seasons, [], [season], index_col="season_rank", count_col=None, base=1, long_groups=True)
     # one row per season: bounded by the season domain, joined on its key
     return eps.join(seasons, season)
 
 
 def titles_by_season(members: DataFrame, season: str = "season", title: str = "title", tie: str | None = None) -> DataFrame:
     """E18 as rows: ``(season, rank, title)`` sorted by title inside the
-    season (two-level rank: a season with many titles is spread out)."""
+    season (from sorted ranges: a season with many titles is spread out)."""
     order = [title] + ([tie] if tie else [])
     return sequence.dense_index(members.select(season, *order), [season], order, index_col="rank",
-                                count_col=None, base=1)
+                                count_col=None, base=1, long_groups=True)

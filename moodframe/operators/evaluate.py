@@ -45,12 +45,14 @@ def axis_rows(pred: DataFrame, keep: Sequence[str] = ("model",), axes: Sequence[
 
 
 def with_outcome(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows with an ``outcome`` column, rejected rows whose label is not in
-    1..5 or is NULL; the reference fails on those)."""
-    ok = F.col("label").isin(*LABELS) & F.col("prediction").isNotNull()
+    """(rows with an ``outcome`` column, rejected rows with a ``reason``). A label
+    that is missing or outside 1..5 rejects the row; a missing prediction is an
+    unanswered one (0)."""
+    ok = F.coalesce(F.col("label").isin(*LABELS), F.lit(False))
+    rows = rows.withColumn("prediction", F.coalesce("prediction", F.lit(0)))
     good = rows.filter(ok).withColumn("outcome", classify_outcome("label", "prediction"))
-    bad = rows.filter(~F.coalesce(ok, F.lit(False))).withColumn(
-        "reason", F.lit("label outside 1..5 or missing"))
+    bad = rows.filter(~ok).withColumn(
+        "reason", F.when(F.col("label").isNull(), F.lit("label missing")).otherwise(F.lit("label outside 1..5")))
     return good, bad
 
 
@@ -142,7 +144,8 @@ def _round(df: DataFrame, places: int | None) -> DataFrame:
 
 def evaluation_summary(pred: DataFrame, model_col: str = "model", places: int | None = 4) -> DataFrame:
     """Overall rows (``true_label = 'overall'``) and per-class rows for
-    each model and axis, in the reference's column order."""
+    each model and axis, in the reference's column order. Rows without a valid
+    label are left to ``evaluation_rejects``."""
     rows, _ = with_outcome(axis_rows(pred, keep=[model_col]))
     stats = class_stats(confusion_counts(rows, model_col), model_col)
     overall = overall_metrics(stats, model_col, places).withColumn("true_label", F.lit("overall"))
@@ -152,6 +155,14 @@ def evaluation_summary(pred: DataFrame, model_col: str = "model", places: int |
     return overall.select(*cols).unionByName(per.select(*cols))
 
 
+def evaluation_rejects(pred: DataFrame, model_col: str = "model") -> DataFrame:
+    """E10's other half: how many rows of each model and axis the summary could
+    not use, and why."""
+    _, bad = with_outcome(axis_rows(pred, keep=[model_col]))
+    return bad.groupBy(F.col(model_col).alias("model"), F.col("axis").alias("funny_or_sad"), "reason").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 def select_model(summary: DataFrame, family: Column, axis_col: str = "funny_or_sad") -> DataFrame:
     """Best model per family (and axis) on the overall rows: F1, then
     accuracy, then model name. The summary is tiny, so a window is fine."""

@@ -35,12 +35,11 @@ def group_split(df: DataFrame, group_col: str, seed: int = SPLIT_SEED, holdout:
     """``(group, split)``: every group in exactly one of train / validate /
     test. Groups are ordered by ``md5(group || ':' || seed)``; sizes follow
     the ceil rule (held out = ceil(holdout * n), test = ceil(test_share *
-    held out)). The global rank is the two-level dense index bucketed on the
-    hash prefix, so no single task ranks all groups."""
+    held out)). The rank comes from sorted ranges of the hash, so no single
+    task ranks all groups."""
     g = df.select(F.col(group_col)).distinct()
     h = F.md5(F.concat(F.col(group_col).cast("string"), F.lit(f":{seed}")))
-    g = g.withColumn("__h", h).withColumn("__hb", F.conv(F.substring("__h", 1, 4), 16, 10).cast("long"))
-    ranked = sequence.dense_index(g, [], ["__hb", "__h"], index_col="__rk", count_col="__n", width=1)
+    ranked = sequence.dense_index(g.withColumn("__h", h), [], ["__h"], index_col="__rk", count_col="__n", long_groups=True)
     n = F.col("__n").cast("double")
     n_hold = F.ceil(F.lit(holdout) * n)
     n_test = F.ceil(F.lit(test_share) * n_hold)

@@ -58,8 +58,12 @@ def validate_labels(posts: DataFrame, key: str = "scene_id", funny: str = "funny
     """(valid rows, rejected rows with ``reason``). Rules: key present, both
     ratings present, integer and in 1..5; optionally the key is unique in
     the batch (a primary-key check by count, no self-join of rows)."""
-    f = F.expr(f"try_cast(`{funny}` AS INT)")
-    s = F.expr(f"try_cast(`{sad}` AS INT)")
+    def whole(c):
+        """The integer that a number or text stands for; NULL for 4.5 as for "x"."""
+        number = F.expr(f"try_cast(`{c}` AS DOUBLE)")
+        return F.when(number == F.floor(number), number.try_cast("int"))
+
+    f, s = whole(funny), whole(sad)
     reason = (F.when(F.col(key).isNull(), F.lit("missing scene_id"))
                .when(F.col(funny).isNull() | F.col(sad).isNull(), F.lit("missing rating"))
                .when(f.isNull() | s.isNull(), F.lit("rating not an integer"))

@@ -56,14 +56,14 @@ def scenes_per_episode(scenes: DataFrame, keys=("source", "episode_id"), order:
 
 # E2 --------------------------------------------------------------------------
 def episode_rating_metrics(scenes: DataFrame, keys=("source", "episode_id"), order="scene_idx",
-                           funny: str = "funny", sad: str = "sad", width=None) -> DataFrame:
+                           funny: str = "funny", sad: str = "sad", long_groups: bool = False) -> DataFrame:
     """Per episode, over the valid scenes (both ratings in 1..5): mean, sample
     variance and mean absolute change of both ratings. Change needs the scene
     just before to be valid too (lag before the filter). Too few values give
     NULL rather than an error. Partial aggregation keeps hot episodes cheap."""
     keys = _listify(keys)
     d = scenes.withColumn("__valid", valid_ratings(funny, sad))
-    d = abs_change(d, keys, order, [funny, sad], F.col("__valid"), width=width)
+    d = abs_change(d, keys, order, [funny, sad], F.col("__valid"), long_groups=long_groups)
     d = d.filter(F.col("__valid"))
     return d.groupBy(*keys).agg(
         F.avg(funny).alias(f"{funny}_mean"),

@@ -3,8 +3,8 @@
 A document (or page) is one row and stays one row until its scenes are
 exploded: line splitting, cleaning, consecutive de-duplication, word counts
 and the greedy packing fold are all higher-order functions on that row's
-array. So segmentation is a narrow, map-only stage: no shuffle at all, and a
-document's work is bounded by its own size. The only Python is the HTML tree
+array. So segmentation is a narrow, map-only stage, and a document's work is
+bounded by its own size. The only Python is the HTML tree
 walk of C1 (stdlib ``html.parser``, in Arrow batches via ``mapInPandas``).
 """
 
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodframe.functions import text as tx
+from moodframe.functions.parse import histogram_bar, numbered_titles
 from moodframe.operators.sequence import scene_position
 
 # --- fixed values -----------------------------------------------------------
@@ -28,6 +29,8 @@ IRRELEVANT_SELECTORS = ("table", "figure", "sup", "style", "script", ".mw-editse
 CONTENT_ROOT = ("div", "mw-parser-output")
 # Elements whose text becomes lines.
 TEXT_ELEMENTS = ("p", "li")
+# Parts of an episode's rating page: root and bars (data-testid), overall rating (class).
+RATING_ROOT, BAR_PREFIX, OVERALL_CLASS = "rating-histogram", "rating-histogram-bar-", "ipc-rating-star--rating"
 # ---------------------------------------------------------------------------
 
 VOID_TAGS = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
@@ -35,32 +38,32 @@ VOID_TAGS = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input
 
 
 # C8 --------------------------------------------------------------------------
-def pack_scenes(lines: Column | str, max_words: int = tx.MAX_WORDS, ws: str = tx.WS) -> Column:
+def with_scenes(df: DataFrame, lines: str, out_col: str = "scenes", max_words: int = tx.MAX_WORDS,
+                ws: str = tx.WS) -> DataFrame:
     """Greedy packing of ordered lines into scenes of at most ``max_words``
     words: a new scene starts when the next line would overflow a non-empty
     scene; one over-long line stays whole. Lines are joined by newline.
 
-    A sequential fold with reset (``aggregate`` with a struct state), so it is
-    not a window sum. Scene text grows only inside one scene and the finished
-    list only by one entry per scene, so the fold is linear in the document."""
-    arr = F.col(lines) if isinstance(lines, str) else lines
-    init = F.struct(F.array().cast("array<string>").alias("done"),
-                    F.lit(None).cast("string").alias("cur"),
-                    F.lit(0).alias("cnt"))
+    A sequential fold with reset, so it is not a window sum. The words of every
+    line are counted once, in a column of their own; the fold sees those numbers
+    only and notes the lines at which scenes begin; the scenes are then slices
+    of the lines. The columns in between are used several times each, which
+    keeps the optimizer from inlining them into a lambda."""
+    d = df.withColumn("__words", F.transform(lines, lambda x: tx.word_count(x, ws)))
+    state = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).alias("i"), F.lit(0).alias("held"))
 
-    def step(acc, line):
-        w = tx.word_count(line, ws)
-        reset = acc["cur"].isNotNull() & (acc["cnt"] + w > max_words)
-        return F.struct(
-            F.when(reset, F.array_append(acc["done"], acc["cur"])).otherwise(acc["done"]).alias("done"),
-            F.when(reset | acc["cur"].isNull(), line)
-             .otherwise(F.concat(acc["cur"], F.lit("\n"), line)).alias("cur"),
-            F.when(reset, w).otherwise(acc["cnt"] + w).alias("cnt"))
+    def step(s, w):
+        new = (s["i"] == 0) | (s["held"] + w > max_words)
+        return F.struct(F.when(new, F.array_append(s["starts"], s["i"] + 1)).otherwise(s["starts"]).alias("starts"),
+                        (s["i"] + 1).alias("i"), F.when(new, w).otherwise(s["held"] + w).alias("held"))
 
-    def finish(acc):
-        return F.when(acc["cur"].isNull(), acc["done"]).otherwise(F.array_append(acc["done"], acc["cur"]))
-
-    return F.aggregate(arr, init, step, finish)
+    d = d.withColumn("__starts", F.aggregate("__words", state, step, lambda s: s["starts"]))
+    ends = F.concat(F.slice("__starts", 2, F.greatest(F.size("__starts"), F.lit(1))), F.array(F.size("__words") + 1))
+    d = d.withColumn("__spans", F.when(F.size("__starts") > 0, F.zip_with(
+        "__starts", ends, lambda a, b: F.struct(a.alias("at"), (b - a).alias("n")))).otherwise(
+        F.array().cast("array<struct<at:int,n:int>>")))
+    return d.withColumn(out_col, F.transform("__spans", lambda x: F.array_join(F.slice(F.col(lines), x["at"], x["n"]), "\n"))
+                        ).drop("__words", "__starts", "__spans")
 
 
 def explode_scenes(df: DataFrame, keys: Sequence[str], scenes_col: str = "scenes",
@@ -75,7 +78,6 @@ def explode_scenes(df: DataFrame, keys: Sequence[str], scenes_col: str = "scenes
         F.col("scene_idx").cast("int").alias("scene_idx"),
         F.col("n_scenes").cast("int").alias("n_scenes"),
         scene_position("scene_idx", "n_scenes", places).alias("position"),
-        F.round(F.col("scene_idx") / F.greatest(F.col("n_scenes") - 1, F.lit(1)), 12).alias("position_exact"),
         tx.word_count("text", ws).alias("n_words"),
         "text",
     )
@@ -85,11 +87,9 @@ def segment_documents(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text_c
                       max_words: int = tx.MAX_WORDS, phrases: Sequence[str] = tx.IGNORE_PHRASES,
                       punct: Sequence[str] = tx.PUNCT_LINES, unicode: bool = True) -> DataFrame:
     """C3-C9 on plain text: clean lines, pack scenes, one row per scene."""
-    from moodframe.session import spread
     ws = tx.WS if unicode else tx.WS_ASCII
-    d = tx.with_text_lines(spread(docs.select(*keys, text_col)), text_col, "__lines", phrases, punct, unicode)
-    packed = d.select(*keys, pack_scenes("__lines", max_words, ws).alias("scenes"))
-    return explode_scenes(packed, list(keys), "scenes", ws)
+    d = tx.with_text_lines(docs.select(*keys, text_col), text_col, "__lines", phrases, punct, unicode)
+    return explode_scenes(with_scenes(d, "__lines", "scenes", max_words, ws).select(*keys, "scenes"), list(keys), "scenes", ws)
 
 
 # C1 / C2 ---------------------------------------------------------------------
@@ -183,7 +183,7 @@ def _strings(node: _Node, out: list[str]) -> None:
                 out.append(t)
 
 
-def _element_texts(node: _Node, tags: Sequence[str], out: list[str]) -> None:
+def _element_texts(node: _Node, tags: Sequence[str], out: list[str], joiner: str = "\n") -> None:
     """Text of every element named in ``tags`` in document order; nested
     ones are read again on their own."""
     stack = [c for c in reversed(node.children) if isinstance(c, _Node)]
@@ -192,15 +192,15 @@ def _element_texts(node: _Node, tags: Sequence[str], out: list[str]) -> None:
         if ch.tag in tags:
             parts: list[str] = []
             _strings(ch, parts)
-            out.append("\n".join(parts))
+            out.append(joiner.join(parts))
         stack.extend(c for c in reversed(ch.children) if isinstance(c, _Node))
 
 
 def html_element_texts(html: str | None, root: tuple[str, str | None] = CONTENT_ROOT,
                        selectors: Sequence[str] = IRRELEVANT_SELECTORS,
-                       tags: Sequence[str] = TEXT_ELEMENTS) -> tuple[list[str] | None, str | None]:
+                       tags: Sequence[str] = TEXT_ELEMENTS, joiner: str = "\n") -> tuple[list[str] | None, str | None]:
     """(text of every ``p``/``li`` below the content root in document order,
-    error). Each element's text is its stripped strings joined by newline; a
+    error). Each element's text is its stripped strings joined by ``joiner``; a
     nested element is read again on its own (as the reference does)."""
     if html is None:
         return None, "no html"
@@ -215,26 +215,25 @@ def html_element_texts(html: str | None, root: tuple[str, str | None] = CONTENT_
         return None, "no content root"
     _strip_nodes(content, selectors)
     out: list[str] = []
-    _element_texts(content, tags, out)
+    _element_texts(content, tags, out, joiner)
     return out, None
 
 
 def page_element_texts(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                        root: tuple[str, str | None] = CONTENT_ROOT,
                        selectors: Sequence[str] = IRRELEVANT_SELECTORS,
-                       tags: Sequence[str] = TEXT_ELEMENTS) -> DataFrame:
+                       tags: Sequence[str] = TEXT_ELEMENTS, joiner: str = "\n") -> DataFrame:
     """``(id, texts array<string>, error)`` per page, parsed in Arrow
     batches by a Python worker (the only non-native step of segmentation)."""
     id_type = pages.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            res = [html_element_texts(h, root, selectors, tags) for h in pdf[html_col]]
+            res = [html_element_texts(h, root, selectors, tags, joiner) for h in pdf[html_col]]
             yield pd.DataFrame({id_col: pdf[id_col], "texts": [r[0] for r in res],
                                 "error": [r[1] for r in res]})
 
-    from moodframe.session import spread
-    return spread(pages.select(id_col, html_col)).mapInPandas(
+    return pages.select(id_col, html_col).mapInPandas(
         run, f"{id_col} {id_type}, texts array<string>, error string")
 
 
@@ -254,13 +253,86 @@ def page_lines(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
 
 def segment_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                   root: tuple[str, str | None] = CONTENT_ROOT, max_words: int = tx.MAX_WORDS,
-                  unicode: bool = True) -> DataFrame:
-    """Pages -> scenes. Pages without content root give no scenes."""
+                  unicode: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(scenes, rejected pages). A page without html, with broken markup
+    or without the content root is rejected with its ``error``."""
     ws = tx.WS if unicode else tx.WS_ASCII
     pl = page_lines(pages, id_col, html_col, root, unicode=unicode)
-    packed = pl.filter(F.col("error").isNull()).select(
-        id_col, pack_scenes("lines", max_words, ws).alias("scenes"))
-    return explode_scenes(packed, [id_col], "scenes", ws)
+    packed = with_scenes(pl.filter(F.col("error").isNull()), "lines", "scenes", max_words, ws)
+    return (explode_scenes(packed.select(id_col, "scenes"), [id_col], "scenes", ws),
+            pl.filter(F.col("error").isNotNull()).select(id_col, "error"))
+
+
+# C10 / C11 on pages ------------------------------------------------------------
+def page_numbered_titles(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
+                         root: tuple[str, str | None] = CONTENT_ROOT) -> DataFrame:
+    """``(id, number, title)`` from the ``td`` and ``li`` cells below the
+    content root. A cell's strings are joined without a separator; a nested cell
+    is read again on its own. Pages without the root give no rows."""
+    cells = page_element_texts(pages, id_col, html_col, root, (), ("td", "li"), joiner="")
+    return cells.select(id_col, F.explode("texts").alias("cell")).select(id_col, F.inline(numbered_titles("cell")))
+
+
+def rating_page(html: str | None) -> tuple[float | None, list[str], str | None]:
+    """(overall rating, labels of the vote bars in page order, error) of an
+    episode page."""
+    b = _TreeBuilder()
+    b.feed(html or "")
+    b.close()
+    root = _first(b.root, lambda n: n.attrs.get("data-testid") == RATING_ROOT)
+    if root is None:
+        return None, [], "no rating histogram"
+    star = _first(root, lambda n: n.tag == "span" and OVERALL_CLASS in (n.attrs.get("class") or "").split())
+    text: list[str] = []
+    if star is not None:
+        _strings(star, text)
+    try:
+        overall = float("".join(text))
+    except ValueError:
+        overall = None
+    labels, stack = [], list(reversed(root.children))
+    while stack:
+        n = stack.pop()
+        if isinstance(n, _Node):
+            if n.tag == "a" and (n.attrs.get("data-testid") or "").startswith(BAR_PREFIX):
+                labels.append(n.attrs.get("aria-label") or "")
+            stack.extend(reversed(n.children))
+    return overall, labels, None if overall is not None else "no overall rating"
+
+
+def _first(node: _Node, wanted) -> _Node | None:
+    stack = [c for c in reversed(node.children) if isinstance(c, _Node)]
+    while stack:
+        n = stack.pop()
+        if wanted(n):
+            return n
+        stack.extend(c for c in reversed(n.children) if isinstance(c, _Node))
+    return None
+
+
+def page_ratings(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """C11: ``(id, overall_rating, histogram array<struct<stars, votes>>, error)``
+    per page. Of several bars of one star the last in the page wins; bars whose
+    label does not match are skipped."""
+    id_type = pages.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            res = [rating_page(h) for h in pdf[html_col]]
+            yield pd.DataFrame({id_col: pdf[id_col], "overall_rating": [r[0] for r in res],
+                                "labels": [r[1] for r in res], "error": [r[2] for r in res]})
+
+    raw = pages.select(id_col, html_col).mapInPandas(
+        run, f"{id_col} {id_type}, overall_rating double, labels array<string>, error string")
+
+    def bar(label, pos):
+        votes, stars = histogram_bar(label)
+        return F.struct(stars.alias("stars"), pos.alias("pos"), votes.alias("votes"))
+
+    bars = raw.withColumn("bars", F.sort_array(F.filter(F.transform("labels", bar), lambda x: x["stars"].isNotNull())))
+    last = F.filter("bars", lambda x, i: F.coalesce(x["stars"] != F.get("bars", i + 1)["stars"], F.lit(True)))
+    return bars.select(id_col, "overall_rating", F.transform(
+        last, lambda x: F.struct(x["stars"].alias("stars"), x["votes"].alias("votes"))).alias("histogram"), "error")
 
 
 # C2 regex variant (native, SQL-checkable) ---------------------------------------

@@ -10,9 +10,11 @@
   masks). ``covar_pop`` merges centred partial moments, so the Gram matrix is
   free of the cancellation of raw sums and combines map-side. Only the k x k
   moment rows (k <= 7 here) reach the driver, where the small solves run.
-* Diagnostics: a second pass over the rows computes every fit's residual,
-  their skewness/kurtosis (Spark's central-moment aggregates) and the
-  Durbin-Watson sums through the two-level ordered lag.
+  The rank is checked on the correlation scale; a deficient fit gets the
+  solution of least norm (pseudo-inverse) and is flagged ``singular``.
+* Diagnostics: the coefficients are joined to the rows as one row per group.
+  Skewness and kurtosis of the residuals come from Spark's central-moment
+  aggregates, the Durbin-Watson sums from sorted ranges of the rows.
 """
 
 from __future__ import annotations
@@ -27,7 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodframe.functions import distributions as dist
-from moodframe.operators.sequence import _listify, prev_values
+from moodframe.operators.sequence import _listify, squared_steps
+
+#: Groups whose moments may be collected; a larger group domain is an error.
+MAX_GROUPS = 10_000
+#: Share of its variance that a column must add to those before it to count.
+RANK_TOLERANCE = 1e-10
 
 
 # E12 -------------------------------------------------------------------------
@@ -85,51 +92,70 @@ def _moment_aggs(sets: list[tuple[str, ...]]) -> list[Column]:
     return aggs
 
 
+def _inverse(n: int, mx: np.ndarray, sxx: np.ndarray) -> tuple[np.ndarray, int]:
+    """Pseudo-inverse of X'X for the design [1, x1..xp], and its rank."""
+    p = len(mx)
+    scale = np.sqrt(np.maximum(np.diag(sxx), 0.0))
+    varies = scale > 1e-12 * np.maximum(np.abs(mx) * math.sqrt(n), 1e-300)
+    unit = np.where(varies, 1.0 / np.where(varies, scale, 1.0), 0.0)
+    values, vectors = np.linalg.eigh(sxx * np.outer(unit, unit)) if p else (np.zeros(0), np.zeros((0, 0)))
+    keep = values > RANK_TOLERANCE
+    s = (vectors[:, keep] / values[keep]) @ vectors[:, keep].T * np.outer(unit, unit)
+    out = np.empty((p + 1, p + 1))
+    out[0, 0] = 1.0 / n + mx @ s @ mx
+    out[0, 1:] = out[1:, 0] = -s @ mx
+    out[1:, 1:] = s
+    rank = 1 + int(keep.sum())
+    if rank < p + 1:  # project the directions that the data leave open out of the solution
+        free = [np.where(varies, v * unit, 0.0) for v in vectors[:, ~keep].T if np.linalg.norm(v[varies]) > 1e-6]
+        free += [np.eye(p)[j] for j in np.flatnonzero(~varies)]
+        basis = np.linalg.qr(np.array([np.r_[-mx @ v, v] for v in free]).T)[0]
+        project = np.eye(p + 1) - basis @ basis.T
+        out = project @ out @ project
+    return out, rank
+
+
 def _solve(n: int, means: np.ndarray, cov: np.ndarray, p: int) -> dict:
     """OLS with intercept from n, means and population covariances of
     [y, x1..xp]. Returns coefficients, standard errors and fit statistics."""
     nan = float("nan")
-    out: dict = {"nobs": n, "df_model": p, "df_resid": n - p - 1}
+    out: dict = {"nobs": n, "df_model": p, "df_resid": n - p - 1, "rank": None, "singular": None}
+    if n == 0:
+        return out | {"coef": [nan] * (p + 1), "se": [nan] * (p + 1), "r2": nan, "ssr": nan}
     my, mx = means[0], means[1:]
     sxx, sxy, syy = n * cov[1:, 1:], n * cov[1:, 0], n * cov[0, 0]
-    dfr = n - p - 1
-    try:
-        inv = np.linalg.inv(sxx) if p else np.zeros((0, 0))
-    except np.linalg.LinAlgError:
-        inv = None
-    if inv is None or dfr <= 0 or n == 0:
-        out.update(coef=[nan] * (p + 1), se=[nan] * (p + 1), r2=nan, ssr=nan, ok=False)
-        return out
-    beta = inv @ sxy if p else np.zeros(0)
-    b0 = my - float(beta @ mx) if p else my
-    ssr = max(float(syy - beta @ sxy), 0.0)
+    inv, rank = _inverse(n, mx, sxx)
+    dfr = n - rank
+    out |= {"df_model": rank - 1, "df_resid": dfr, "rank": rank, "singular": rank < p + 1}
+    if dfr <= 0:
+        return out | {"coef": [nan] * (p + 1), "se": [nan] * (p + 1), "r2": nan, "ssr": nan}
+    beta = inv @ np.r_[n * my, sxy + n * mx * my]
+    ssr = max(float(syy - 2 * beta[1:] @ sxy + beta[1:] @ sxx @ beta[1:]), 0.0)
     s2 = ssr / dfr
-    cov_b = s2 * inv
-    var_b0 = s2 * (1.0 / n + float(mx @ inv @ mx)) if p else s2 / n
-    se = [math.sqrt(max(var_b0, 0.0))] + [math.sqrt(max(float(v), 0.0)) for v in np.diag(cov_b)]
+    se = [math.sqrt(max(s2 * float(v), 0.0)) for v in np.diag(inv)]
     r2 = 1.0 - ssr / syy if syy > 0 else nan
     adj = 1.0 - (n - 1) / dfr * (1.0 - r2) if syy > 0 else nan
-    f = (r2 / p) / ((1.0 - r2) / dfr) if p and syy > 0 and r2 < 1 else nan
+    f = (r2 / (rank - 1)) / ((1.0 - r2) / dfr) if rank > 1 and syy > 0 and r2 < 1 else nan
     ll = -n / 2.0 * (math.log(2 * math.pi) + math.log(ssr / n) + 1) if ssr > 0 else nan
-    k = p + 1
-    xtx = np.empty((k, k))
+    xtx = np.empty((p + 1, p + 1))
     xtx[0, 0] = n
     xtx[0, 1:] = xtx[1:, 0] = n * mx
     xtx[1:, 1:] = sxx + n * np.outer(mx, mx)
     ev = np.linalg.eigvalsh(xtx)
     cond = math.sqrt(ev.max() / ev.min()) if ev.min() > 0 else nan
-    out.update(coef=[b0] + [float(b) for b in beta], se=se, r2=r2, adj_r2=adj, f=f,
-               f_pvalue=dist.f_sf(f, p, dfr) if not math.isnan(f) else nan,
-               ll=ll, aic=-2 * ll + 2 * k, bic=-2 * ll + math.log(n) * k, ssr=ssr, cond_no=cond, ok=True)
-    return out
+    return out | {"coef": [float(v) for v in beta], "se": se, "r2": r2, "adj_r2": adj, "f": f,
+                  "f_pvalue": dist.f_sf(f, rank - 1, dfr) if not math.isnan(f) else nan, "ll": ll,
+                  "aic": -2 * ll + 2 * rank, "bic": -2 * ll + math.log(n) * rank, "ssr": ssr, "cond_no": cond}
 
 
 def ols_moments(df: DataFrame, specs: Sequence[FitSpec], keys=None) -> tuple[list, list[tuple[str, ...]]]:
-    """The single aggregate behind every fit: rows per group (the group domain
-    must be small: these rows are collected)."""
+    """The single aggregate behind every fit: rows per group, which are
+    collected. More than ``MAX_GROUPS`` groups are an error."""
     keys = _listify(keys)
     sets = sorted({(s.target, *s.features) for s in specs})
-    rows = df.groupBy(*keys).agg(*_moment_aggs(sets)).collect()
+    rows = df.groupBy(*keys).agg(*_moment_aggs(sets)).limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups of {keys}")
     return rows, sets
 
 
@@ -139,7 +165,9 @@ def ols_fit(df: DataFrame, specs: Sequence[FitSpec], keys=None, spark: SparkSess
 
     Coefficients: ``keys..., fit, target, term, coef, std_err, t_value,
     p_value, ci_low, ci_high``. Fits: ``keys..., fit, target, nobs, df_model,
-    df_resid, r2, adj_r2, f_stat, f_pvalue, log_lik, aic, bic, cond_no``."""
+    df_resid, r2, adj_r2, f_stat, f_pvalue, log_lik, aic, bic, cond_no, rank,
+    singular``. A fit whose columns are collinear or constant is ``singular``; its
+    coefficients are those of least norm and its degrees of freedom follow the rank."""
     spark = spark or df.sparkSession
     keys = _listify(keys)
     rows, sets = ols_moments(df, specs, keys)
@@ -167,10 +195,10 @@ def ols_fit(df: DataFrame, specs: Sequence[FitSpec], keys=None, spark: SparkSess
                 p = dist.t_sf2(abs(t), dfr) if with_tests and not math.isnan(t) else float("nan")
                 coef_rows.append((*kv, spec.label, spec.target, term, _f(c), _f(se), _f(t), _f(p),
                                   _f(c - tq * se), _f(c + tq * se)))
-            fit_rows.append((*kv, spec.label, spec.target, n, len(spec.features), dfr,
+            fit_rows.append((*kv, spec.label, spec.target, n, res["df_model"], dfr,
                              _f(res.get("r2")), _f(res.get("adj_r2")), _f(res.get("f")),
                              _f(res.get("f_pvalue")), _f(res.get("ll")), _f(res.get("aic")),
-                             _f(res.get("bic")), _f(res.get("cond_no"))))
+                             _f(res.get("bic")), _f(res.get("cond_no")), res["rank"], res["singular"]))
     key_fields = [df.schema[k] for k in keys]
     coef_schema = T.StructType(key_fields + [T.StructField(c, T.StringType()) for c in ("fit", "target", "term")]
                                + [T.StructField(c, T.DoubleType()) for c in
@@ -179,7 +207,8 @@ def ols_fit(df: DataFrame, specs: Sequence[FitSpec], keys=None, spark: SparkSess
                                             T.StructField("nobs", T.LongType()), T.StructField("df_model", T.LongType()),
                                             T.StructField("df_resid", T.LongType())]
                               + [T.StructField(c, T.DoubleType()) for c in
-                                 ("r2", "adj_r2", "f_stat", "f_pvalue", "log_lik", "aic", "bic", "cond_no")])
+                                 ("r2", "adj_r2", "f_stat", "f_pvalue", "log_lik", "aic", "bic", "cond_no")]
+                              + [T.StructField("rank", T.LongType()), T.StructField("singular", T.BooleanType())])
     return spark.createDataFrame(coef_rows, coef_schema), spark.createDataFrame(fit_rows, fit_schema)
 
 
@@ -191,57 +220,42 @@ def _f(x):
 
 
 # E14 -------------------------------------------------------------------------
-def ols_diagnostics(df: DataFrame, specs: Sequence[FitSpec], coefs: DataFrame, order, keys=None,
-                    width=None) -> DataFrame:
+def ols_diagnostics(df: DataFrame, specs: Sequence[FitSpec], coefs: DataFrame, order, keys=None) -> DataFrame:
     """Residual diagnostics per fit and group: skew, kurtosis (non-excess),
     Jarque-Bera and its p value, omnibus (D'Agostino-Pearson) and its p value,
-    Durbin-Watson in ``order``. One lag pass and one aggregate for all fits."""
-    keys = _listify(keys)
-    order = _listify(order)
-    crow = coefs.collect()  # fits x terms rows: small by construction
-    table: dict = {}
-    for r in crow:
-        table.setdefault((tuple(r[k] for k in keys), r["fit"]), {})[r["term"]] = r["coef"]
-    groups = sorted({g for g, _ in table}, key=str)
-    resid_cols = []
-    d = df
-    for f_i, spec in enumerate(specs):
-        expr = None
-        for g in groups:
-            cf = table.get((g, spec.label))
-            if not cf or any(cf.get(t) is None for t in ("Intercept", *spec.features)):
-                continue
-            pred = F.lit(cf["Intercept"])
-            for x in spec.features:
-                pred = pred + F.lit(cf[x]) * F.col(x)
-            e = F.col(spec.target) - pred
-            cond = F.lit(True)
-            for k, v in zip(keys, g):
-                cond = cond & (F.col(k) == F.lit(v))
-            expr = F.when(cond, e) if expr is None else expr.when(cond, e)
-        name = f"__e{f_i}"
-        d = d.withColumn(name, expr if expr is not None else F.lit(None).cast("double"))
-        resid_cols.append(name)
-    d = prev_values(d.select(*keys, *order, *resid_cols), keys, order, resid_cols, prefix="__p",
-                    width=width, ignore_nulls=True)
+    Durbin-Watson in ``order``. The coefficients reach the rows by a join on the
+    group; groups without coefficients drop out."""
+    keys, order = _listify(keys), _listify(order)
+    terms = [(i, t) for i, spec in enumerate(specs) for t in ("Intercept", *spec.features)]
+    wide = coefs.groupBy(*keys).agg(*(
+        F.max(F.when((F.col("fit") == specs[i].label) & (F.col("term") == t), F.col("coef"))).alias(f"__b{k}")
+        for k, (i, t) in enumerate(terms)))
+    at = {x: f"__b{k}" for k, x in enumerate(terms)}
+    join_on = keys or ["__one"]  # without keys there is one row of coefficients
+    rows = df if keys else df.withColumn("__one", F.lit(1))
+    joined = rows.join(wide if keys else wide.withColumn("__one", F.lit(1)), join_on)
+    names = [f"__e{i}" for i in range(len(specs))]
+    residuals = []
+    for i, spec in enumerate(specs):
+        pred = F.col(at[i, "Intercept"])
+        for x in spec.features:
+            pred = pred + F.col(at[i, x]) * F.col(x)
+        residuals.append((F.col(spec.target) - pred).alias(names[i]))
+    d = joined.select(*keys, *order, *residuals)
     aggs = []
-    for f_i, name in enumerate(resid_cols):
-        e = F.col(name)
-        diff = e - F.col("__p" + name)
-        aggs += [F.count(e).alias(f"n{f_i}"), F.skewness(e).alias(f"sk{f_i}"), F.kurtosis(e).alias(f"ku{f_i}"),
-                 F.sum(diff * diff).alias(f"dn{f_i}"), F.sum(e * e).alias(f"dd{f_i}")]
+    for i, name in enumerate(names):
+        aggs += [F.count(name).alias(f"n{i}"), F.skewness(name).alias(f"sk{i}"), F.kurtosis(name).alias(f"ku{i}")]
     items = []
-    for f_i, spec in enumerate(specs):
-        n = F.col(f"n{f_i}").cast("double")
-        sk = F.col(f"sk{f_i}")
-        ku = F.col(f"ku{f_i}") + 3.0
+    for i, spec in enumerate(specs):
+        n, sk, ku = F.col(f"n{i}").cast("double"), F.col(f"sk{i}"), F.col(f"ku{i}") + 3.0
         jb = n / 6.0 * (sk * sk + (ku - 3.0) * (ku - 3.0) / 4.0)
-        items.append(F.struct(F.lit(spec.label).alias("fit"), F.lit(spec.target).alias("target"),
-                              F.col(f"n{f_i}").alias("nobs"), sk.alias("skew"), ku.alias("kurtosis"),
-                              jb.alias("jarque_bera"), F.exp(-jb / 2.0).alias("jb_pvalue"),
-                              F.try_divide(F.col(f"dn{f_i}"), F.col(f"dd{f_i}")).alias("durbin_watson")))
-    out = d.groupBy(*keys).agg(*aggs).select(*keys, F.inline(F.array(*items)))
-    return out
+        items.append(F.struct(F.lit(names[i]).alias("col"), F.lit(spec.label).alias("fit"), F.lit(spec.target).alias("target"),
+                              F.col(f"n{i}").alias("nobs"), sk.alias("skew"), ku.alias("kurtosis"),
+                              jb.alias("jarque_bera"), F.exp(-jb / 2.0).alias("jb_pvalue")))
+    shape = d.groupBy(*keys).agg(*aggs).select(*keys, F.inline(F.array(*items)))
+    steps = squared_steps(d, names, order, keys).select(
+        *keys, "col", F.try_divide("steps", "squares").alias("durbin_watson"))
+    return shape.join(steps, [*keys, "col"], "left").drop("col")
 
 
 def omnibus(skew: float, kurt: float, n: int) -> tuple[float, float]:

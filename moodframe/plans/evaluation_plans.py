@@ -167,3 +167,38 @@ SELECT model, funny_or_sad, true_label, accuracy, precision, recall, f1, family
 def select_model(spark, sf_dir):
     s = ev.evaluation_summary(predictions(spark, sf_dir))
     return ev.select_model(s, F.substring("model", 1, 1))
+
+
+# Rows that the summary rejects; missing predictions count as unanswered ---------
+def _flawed(spark, sf_dir):
+    """Predictions with invalid and missing labels and missing predictions."""
+    p = predictions(spark, sf_dir)
+    return p.withColumn("true_funny", F.when(F.col("l_orderkey") % 11 == 0, 6).when(F.col("l_orderkey") % 13 != 0, F.col("true_funny"))) \
+            .withColumn("predicted_sad", F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 7 != 0, F.col("predicted_sad")))
+
+
+_FLAWED_SQL = """
+f AS (
+  SELECT l_returnflag || l_linestatus AS model,
+    CASE WHEN l_orderkey % 11 = 0 THEN 6 WHEN l_orderkey % 13 <> 0 THEN (l_orderkey + l_linenumber) % 5 + 1 END AS tf,
+    (l_suppkey + l_linenumber) % 5 + 1 AS ts,
+    coalesce(CASE WHEN (l_orderkey + l_linenumber) % 7 <> 0 THEN (l_orderkey + l_suppkey) % 6 END, 0) AS ps
+  FROM lineitem
+)"""
+
+
+@plan("evaluation_rejects", "WITH " + _FLAWED_SQL + """
+SELECT model, 'funny' AS funny_or_sad, CASE WHEN tf IS NULL THEN 'label missing' ELSE 'label outside 1..5' END AS reason,
+       count(*) AS n
+FROM f WHERE tf IS NULL OR tf NOT BETWEEN 1 AND 5 GROUP BY ALL
+""")
+def evaluation_rejects(spark, sf_dir):
+    return ev.evaluation_rejects(_flawed(spark, sf_dir))
+
+
+@plan("unanswered_predictions", "WITH " + _FLAWED_SQL + """
+SELECT model, CAST(ts AS INTEGER) AS label, count(*) AS n FROM f WHERE ps = 0 GROUP BY ALL
+""")
+def unanswered_predictions(spark, sf_dir):
+    rows, _ = ev.with_outcome(ev.axis_rows(_flawed(spark, sf_dir), axes=["sad"]))
+    return rows.filter(F.col("outcome") == "Not Classified").groupBy("model", "label").agg(F.count("*").alias("n"))

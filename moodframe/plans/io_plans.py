@@ -185,3 +185,85 @@ def write_summary_csv(spark, sf_dir):
     schema = "model string, funny_or_sad string, true_label string, accuracy double, precision double, " \
              "recall double, f1 double"
     return spark.read.schema(schema).option("header", True).csv(path)
+
+
+# Readers on folders with spaces, indented arrays and broken records ------------------
+def _indented(df, columns):
+    """One indented JSON array of all rows of a (small) group, as one line of text."""
+    item = F.to_json(F.struct(*columns), {"pretty": "true"})
+    return F.concat(F.lit("[\n"), F.array_join(F.collect_list(item), ",\n"), F.lit("\n]"))
+
+
+def _write_as_files(df, path, folder, name):
+    """Each row's ``value`` as one file ``folder/name`` below ``path``, through the
+    file system of the path (a fixture: one file per season or model)."""
+    spark = df.sparkSession
+    rows = df.select(folder.alias("folder"), name.alias("name"), "value").collect()  # one row per season or model: a few
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for r in rows:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{r.folder}", r.name)
+        out = p.getFileSystem(conf).create(p)
+        out.write(bytearray(r.value, "utf-8"))
+        out.close()
+
+
+def _season_files(spark, sf_dir):
+    path = scratch_path(spark, "season-files")
+    s = _scenes_with_position(spark, sf_dir)
+    docs = s.groupBy("season", "episode").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("scene_idx", "scene_id", "position", "text"))),
+        lambda x: F.struct(x["scene_id"], x["position"], x["text"])).alias("scenes"))
+    docs = docs.withColumn("source", F.lit("My Thing transcript")).withColumn("episode", F.col("episode").cast("string"))
+    arrays = docs.groupBy("season").agg(_indented(docs, ["source", "episode", "scenes"]).alias("value"))
+    _write_as_files(arrays, path, F.format_string("Season %d Transcripts", "season"), F.lit("ep_03_My_Thing.json"))
+    extra = spark.createDataFrame([
+        ("Season 1 Transcripts", "ep_07_Object.json", '[{"episode": {"n": 4}, "scenes": [{"text": "object"}]}]'),
+        ("Season 1 Transcripts", "ep_08_Broken.json", '[{"scenes": '),
+        ("Notes", "ep_01_A.json", '[{"scenes": []}]')], "folder string, name string, value string")
+    _write_as_files(extra, path, F.col("folder"), F.col("name"))
+    return path
+
+
+@plan("read_season_folders", _POS_SQL + """
+SELECT season, episode, 'My Thing' AS title, CAST(scene_idx AS INTEGER) AS scene_idx, scene_id, position, text FROM sp
+UNION ALL SELECT 1, 0, 'Object', 0, '1_00_1', NULL, 'object'
+""")
+def read_season_folders(spark, sf_dir):
+    e = rd.read_episodes(spark, f"{_season_files(spark, sf_dir)}/*/*.json")
+    return e.select("season", "episode", "title", "scene_idx", "scene_id", "position", "text")
+
+
+@plan("episode_rejects", """
+SELECT 'ep_08_Broken' AS stem, 'broken record' AS reason UNION ALL SELECT 'ep_01_A', 'not in a season folder'
+""")
+def episode_rejects(spark, sf_dir):
+    from moodframe.functions.fields import path_parts
+    r = rd.episode_rejects(spark, f"{_season_files(spark, sf_dir)}/*/*.json")
+    return r.select(path_parts("path")[1].alias("stem"), "reason")
+
+
+@plan("read_indented_predictions", "WITH " + PRED_SQL + """
+SELECT 'model ' || model AS model, l_orderkey, l_linenumber, true_funny, predicted_funny, true_sad, predicted_sad
+FROM p WHERE l_orderkey < 1000
+""")
+def read_indented_predictions(spark, sf_dir):
+    path = scratch_path(spark, "indented-predictions")
+    p = predictions(spark, sf_dir).filter("l_orderkey < 1000")  # one file per model is the shape under test
+    arrays = p.groupBy("model").agg(_indented(p, [c for c in p.columns if c != "model"]).alias("value"))
+    _write_as_files(arrays, path, F.lit("all"), F.format_string("model %s.json", "model"))
+    return rd.read_predictions(spark, [f"{path}/all"], PRED_SCHEMA, multiline=True)
+
+
+@plan("read_indented_histograms", """
+SELECT event_type AS episode_id, CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 + 1 AS INTEGER) AS star,
+       count(*) AS votes
+FROM events GROUP BY ALL
+""")
+def read_indented_histograms(spark, sf_dir):
+    from moodframe.plans.stats_plans import event_histogram
+    path = scratch_path(spark, "indented-histograms")
+    rec = event_histogram(spark, sf_dir, "event_type").groupBy(F.col("event_type").alias("episode_id")).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("star").cast("string"), F.col("votes")))).alias("ratings_histogram"))
+    arrays = rec.agg(_indented(rec, rec.columns).alias("value"))  # one record per event type
+    _write_as_files(arrays, path, F.lit("all"), F.lit("ratings.json"))
+    return rd.read_histograms(spark, f"{path}/all", multiline=True)

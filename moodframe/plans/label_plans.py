@@ -105,8 +105,8 @@ lb AS (SELECT CAST(doc_id AS VARCHAR) AS scene_id, quality + 1 AS funny, toxic +
 
 
 def doc_scenes(spark, sf_dir):
-    """Documents as scenes of their source: previous text and position by
-    doc id (both two-level, so a large source is not one task)."""
+    """Documents as scenes of their source: previous text and position by doc
+    id, both from windows over the same rows of a source (one shuffle)."""
     d = table(spark, sf_dir, "documents").select(
         F.col("source").alias("episode_id"), "doc_id", F.col("doc_id").cast("string").alias("scene_id"), "text")
     d = sequence.dense_index(d, ["episode_id"], ["doc_id"], index_col="scene_idx", count_col="n_scenes")
@@ -166,12 +166,9 @@ FROM latest
 """)
 def all_labels_by_time(spark, sf_dir):
     latest = _latest(spark, sf_dir).select("scene_id", "funny", "sad", "updated_at")
-    # rank by time: two-level dense index (no single-task global window);
-    # NULL times first, as ORDER BY does
-    keyed = latest.withColumn("__known", F.col("updated_at").isNotNull().cast("int"))
-    ranked = sequence.dense_index(keyed, [], ["__known", "updated_at", "scene_id"], index_col="rank",
-                                  count_col=None, base=1, bucket=sequence.time_bucket("updated_at"))
-    return lb.sorted_by(ranked.drop("__known"), [F.col("rank")])
+    # NULL times come first, as in the ascending order of the ranges
+    return sequence.dense_index(latest, [], ["updated_at", "scene_id"], index_col="rank", count_col=None, base=1,
+                                long_groups=True)
 
 
 @plan("sort_episodes", "WITH " + CONV_SCENES_SQL + """
@@ -181,6 +178,5 @@ FROM (SELECT DISTINCT episode_id, season, episode FROM conv_scenes)
 """)
 def sort_episodes(spark, sf_dir):
     eps = conversation_scenes(spark, sf_dir).select("episode_id", "season", "episode").distinct()
-    ranked = sequence.dense_index(eps, [], ["season", "episode"], index_col="rank", count_col=None, base=1,
-                                  width=1)
-    return lb.sorted_by(ranked, ["rank"])
+    return sequence.dense_index(eps, [], ["season", "episode"], index_col="rank", count_col=None, base=1,
+                                long_groups=True)

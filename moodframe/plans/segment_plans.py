@@ -33,8 +33,7 @@ FROM {sql_cte}, unnest({sql_cte}.l) WITH ORDINALITY AS u(line, i)"""
 
 
 def _docs(spark, sf_dir):
-    from moodframe.session import spread
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def _lines(spark, sf_dir, stage: int):
@@ -131,7 +130,8 @@ def page_lines(spark, sf_dir):
 @plan("segment_pages")
 def segment_pages(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    return sg.segment_pages(pages, "page_id", "html", root=ARTICLE_ROOT).select(
+    scenes, _ = sg.segment_pages(pages, "page_id", "html", root=ARTICLE_ROOT)  # page_rejects has the others
+    return scenes.select(
         "page_id", "scene_idx", "n_scenes", "position", "n_words", "text")
 
 
@@ -165,3 +165,73 @@ def lag_dup_flag(spark, sf_dir):
     lines = _lines(spark, sf_dir, 5)
     d = sequence.prev_values(lines, ["doc_id"], ["line_no"], ["line"], prefix="prev_")
     return d.select("doc_id", "line_no", F.coalesce(F.col("line") == F.col("prev_line"), F.lit(False)).alias("is_dup"))
+
+
+# Pages that segmentation rejects (the default content root is in none of them) ---
+@plan("page_rejects", "SELECT page_id, 'no content root' AS error FROM pages")
+def page_rejects(spark, sf_dir):
+    _, rejects = sg.segment_pages(table(spark, sf_dir, "pages"), "page_id", "html")
+    return rejects
+
+
+# C1/C2 on pages built from documents: odd lines in p, even ones in li, and every
+# irrelevant element in between ----------------------------------------------------
+_JUNK = ('<table><tr><td><p>t</p></td></tr></table><figure><p>f</p></figure><style>p{}</style><script>"<p>s</p>"</script>'
+         '<div class="x toc"><li>c</li></div><div id="toc"><li>i</li></div><div class="printfooter"><p>pf</p></div>'
+         '<div class="asst-ad y"><p>ad</p></div>')
+_INNER = '<sup>1</sup><span class="mw-editsection">edit</span>'
+
+
+@plan("page_lines_built", "WITH " + LINES_SQL + _explode_lines("c6"))
+def page_lines_built(spark, sf_dir):
+    lines = tx.split_lines("text", unicode=False)
+
+    def element(x, i):
+        for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            x = F.replace(x, F.lit(a), F.lit(b))
+        tag = F.when(i % 2 == 0, "p").otherwise("li")
+        return F.concat(F.lit("<"), tag, F.lit(">"), x, F.lit(_INNER + "</"), tag, F.lit(">" + _JUNK))
+
+    html = F.concat(F.lit('<html><body><p>out</p><div class="a mw-parser-output">'), F.array_join(F.transform(lines, element), ""),
+                    F.lit("</div><p>after</p></body></html>"))
+    pages = _docs(spark, sf_dir).select(F.col("doc_id").alias("page_id"), html.alias("html"))
+    pl = sg.page_lines(pages, unicode=False)
+    return tx.explode_positions(pl, "lines", ["page_id"], "line_no", "line").select(
+        F.col("page_id").alias("doc_id"), F.col("line_no").cast("int").alias("line_no"), "line")
+
+
+# C10 on pages ------------------------------------------------------------------------
+@plan("page_numbered_titles", r"""
+SELECT p_partkey AS page_id, p_size AS number, trim(p_name) AS title FROM part
+UNION ALL SELECT p_partkey, CAST(p_partkey % 100 AS INTEGER), trim(p_type) FROM part
+UNION ALL SELECT p_partkey, CAST(p_partkey % 100 AS INTEGER), trim(p_type) FROM part WHERE p_partkey % 2 = 0
+""")
+def page_numbered_titles(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    # every second page nests its li in a td, which reads it a second time
+    li = F.format_string('<li>%d.  "<i>%s</i> "</li>', F.col("p_partkey") % 100, "p_type")
+    cell = F.format_string('<td>%d. <b>"%s</b>"</td>', "p_size", "p_name")
+    body = F.when(F.col("p_partkey") % 2 == 0, F.concat(cell, F.lit("<td>see"), li, F.lit("</td>"))).otherwise(F.concat(cell, li))
+    html = F.concat(F.lit('<li>9. "outside"</li><div class="mw-parser-output"><table><tr>'), body, F.lit("</tr></table></div>"))
+    return sg.page_numbered_titles(p.select(F.col("p_partkey").alias("page_id"), html.alias("html")))
+
+
+# C11 on pages: a star can have several bars, the last one counts ----------------------
+@plan("page_ratings", """
+WITH b AS (SELECT user_id, event_id, CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 + 1 AS INTEGER) AS star FROM events)
+SELECT user_id, CAST((user_id % 90 + 10) / 10 AS DOUBLE) AS overall_rating, star AS stars, max(event_id) AS votes
+FROM b GROUP BY ALL
+""")
+def page_ratings(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select(
+        "user_id", "event_id", (F.get_json_object("props", "$.k").cast("long") % 10 + 1).cast("int").alias("star"))
+    label = F.when(F.col("event_id") % 2 == 0, F.format_number("event_id", 0)).otherwise(F.col("event_id").cast("string"))
+    bar = F.concat(F.lit('<div><a data-testid="rating-histogram-bar-'), "star", F.lit('" aria-label="'), label, F.lit(" "), "star",
+                   F.lit('-star REVIEWS"></a></div><a data-testid="other" aria-label="5 1-star reviews"></a>'))
+    # a user's events stand for the bars of a page: bounded by that page
+    pages = ev.groupBy("user_id").agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.struct("event_id", bar.alias("bar")))), lambda x: x["bar"]), "").alias("bars"))
+    html = F.concat(F.lit('<div data-testid="rating-histogram"><span class="x ipc-rating-star--rating"> '),
+                    (F.col("user_id") % 90 + 10) / 10, F.lit("</span>"), "bars", F.lit("</div>"))
+    r = sg.page_ratings(pages.select("user_id", html.alias("html")), "user_id")
+    return r.select("user_id", "overall_rating", F.inline("histogram"))

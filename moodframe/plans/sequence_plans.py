@@ -115,8 +115,7 @@ def durbin_watson(spark, sf_dir):
     from moodframe.plans.tables import table
     ev = table(spark, sf_dir, "events").select("event_type", "ts", "value")
     means = ev.groupBy("event_type").agg(F.avg("value").alias("__m"))
-    # the per-type mean is one row per event type: bounded by the type domain
-    r = ev.join(F.broadcast(means), "event_type").select(
+    r = ev.join(means, "event_type").select(
         "event_type", "ts", (F.col("value") - F.col("__m")).alias("e"))
     dw = sequence.durbin_watson(r, "e", ["ts"], keys=["event_type"])
     return dw.select("event_type", _r("durbin_watson"))

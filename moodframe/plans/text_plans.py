@@ -61,7 +61,8 @@ def parse_histogram(spark, sf_dir):
 
 
 # C12 -------------------------------------------------------------------------------
-_PROMPT_SQL = ps.DEFAULT_PROMPT.replace("'", "''").replace("\n", "' || chr(10) || '")
+PROMPT = "at {position}\nbefore: {prev_scene_text}\nnow: {text}\ngive two numbers\n"
+_PROMPT_SQL = PROMPT.replace("'", "''").replace("\n", "' || chr(10) || '")
 
 
 @plan("render_prompt", "WITH " + CONV_SCENES_SQL + f""",
@@ -83,7 +84,7 @@ def render_prompt(spark, sf_dir):
     s = sequence.dense_index(s, ["episode_id"], ["scene_idx"], index_col="i", count_col="n")
     s = sequence.prev_scene_text(s, "episode_id", "scene_idx", "text")
     s = s.withColumn("position", sequence.scene_position("i", "n"))
-    return s.select("scene_id", ps.render_prompt(ps.DEFAULT_PROMPT).alias("prompt"))
+    return s.select("scene_id", ps.render_prompt(PROMPT).alias("prompt"))
 
 
 # C13 -------------------------------------------------------------------------------

@@ -60,16 +60,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = shared_dir(spark).rstrip("/")
     return f"{base}/moodframe/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def spread(df, factor: int = 2):
-    """Spread rows over the cores before CPU-heavy per-row work (text
-    cleaning, packing folds, HTML parsing) when the scan produced fewer
-    splits than there are cores, as small inputs do. At cluster scale a scan
-    yields many splits and this is a no-op; no data moves then."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
-        return df
-    return df.repartition(cores * factor)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodframe.functions import fields as fd
-from moodframe.functions.text import explode_positions
+from moodframe.functions.text import explode_positions, utrim
 
 SCENE = T.StructType([T.StructField("scene_id", T.StringType()), T.StructField("position", T.DoubleType()),
                       T.StructField("text", T.StringType())])
@@ -27,26 +27,36 @@ CATEGORY_REPLY = T.StructType([
 
 
 # A1 --------------------------------------------------------------------------
+def _episode_docs(spark: SparkSession, path: str, multiline: bool, schema: T.StructType) -> DataFrame:
+    """Episode documents with season, episode and title, and the ``reason`` why
+    a document cannot be used (NULL if it can)."""
+    read = T.StructType([*schema.fields, T.StructField("__broken", T.StringType())])
+    df = (spark.read.schema(read).option("multiLine", multiline).option("columnNameOfCorruptRecord", "__broken").json(path)
+          .withColumn("__path", F.col("_metadata.file_path")))
+    folder, stem = fd.path_parts("__path")
+    part = F.regexp_extract(F.col("__path"), r"/season=(\d+)/", 1)
+    folder_season = F.coalesce(fd.season_from_folder(folder), F.when(part != "", part.cast("int")))
+    # an episode that is an object says nothing about the number
+    doc_episode = F.when(F.ltrim("episode").startswith("{"), F.lit(0)).otherwise(F.expr("try_cast(episode AS INT)"))
+    return df.select(
+        F.coalesce(F.expr("try_cast(season AS INT)"), folder_season).alias("season"),
+        F.coalesce(doc_episode, fd.episode_from_stem(stem)).alias("episode"),
+        fd.episode_title(F.col("source"), stem).alias("title"), "scenes", F.col("__path").alias("path"),
+        F.when(F.col("__broken").isNotNull(), F.lit("broken record"))
+         .when(folder_season.isNull(), F.lit("not in a season folder"))
+         .when(F.col("scenes").isNull(), F.lit("no scenes")).alias("reason"))
+
+
 def read_episodes(spark: SparkSession, path: str, multiline: bool = True,
                   schema: T.StructType = EPISODE_DOC) -> DataFrame:
     """Episode documents below season folders -> one row per scene.
 
     Season comes from the document, else from a ``Season N Transcripts``
-    folder (any case) or a ``season=N`` partition folder; files in other
-    folders are skipped. Episode comes from the document, else ``ep_<n>_`` in
-    the file name, else 0. Scene ids are re-assigned as ``S_EE_n``."""
-    df = spark.read.schema(schema).option("multiLine", multiline).json(path) \
-        .withColumn("__path", F.col("_metadata.file_path"))
-    folder, stem = fd.path_parts("__path")
-    part = F.regexp_extract(F.col("__path"), r"/season=(\d+)/", 1)
-    folder_season = F.coalesce(fd.season_from_folder(folder), F.when(part != "", part.cast("int")))
-    doc_season = F.expr("try_cast(season AS INT)")
-    doc_episode = F.expr("try_cast(episode AS INT)")
-    d = df.filter(folder_season.isNotNull()).select(
-        F.coalesce(doc_season, folder_season).alias("season"),
-        F.coalesce(doc_episode, fd.episode_from_stem(stem)).alias("episode"),
-        fd.episode_title(F.col("source"), stem).alias("title"),
-        "scenes")
+    folder (any case) or a ``season=N`` partition folder. Episode comes from the
+    document (0 if it is an object there), else ``ep_<n>_`` in the file name,
+    else 0. Scene ids are re-assigned as ``S_EE_n``. Files in other folders and
+    broken records are left to ``episode_rejects``."""
+    d = _episode_docs(spark, path, multiline, schema).filter(F.col("reason").isNull())
     s = explode_positions(d, "scenes", ["season", "episode", "title"], "scene_idx", "scene")
     return s.select(
         "season", "episode", "title", F.col("scene_idx").cast("int").alias("scene_idx"),
@@ -55,6 +65,12 @@ def read_episodes(spark: SparkSession, path: str, multiline: bool = True,
         F.col("scene.position").alias("position"), F.col("scene.text").alias("text"))
 
 
+def episode_rejects(spark: SparkSession, path: str, multiline: bool = True,
+                    schema: T.StructType = EPISODE_DOC) -> DataFrame:
+    """(path, reason) of the documents that ``read_episodes`` leaves out."""
+    return _episode_docs(spark, path, multiline, schema).filter(F.col("reason").isNotNull()).select("path", "reason")
+
+
 # A2 --------------------------------------------------------------------------
 def read_labels_json(spark: SparkSession, path: str, schema: T.StructType = LABEL_TEXT,
                      multiline: bool = False) -> DataFrame:
@@ -70,16 +86,20 @@ def read_labels_json(spark: SparkSession, path: str, schema: T.StructType = LABE
 
 # A3 --------------------------------------------------------------------------
 def read_predictions(spark: SparkSession, dirs: Sequence[str], schema: T.StructType,
-                     model_from: str = "stem") -> DataFrame:
+                     model_from: str = "stem", multiline: bool = False) -> DataFrame:
     """Every file of the given folders; ``model`` = file stem (one file per
-    model) or the ``model=`` partition folder."""
+    model), the ``folder`` a file lies in, or the ``model=`` partition folder.
+    ``multiline`` reads indented arrays. A record that does not parse is an
+    error, never a row of NULLs."""
     out = None
     for d in dirs:
-        df = spark.read.schema(schema).json(d)
+        df = spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(d)
         if "model" in df.columns and "model" not in schema.fieldNames():
             df = df.drop("model")  # discovered partition column; re-derived below
         if model_from == "stem":
-            model = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1)
+            model = fd.path_parts(F.col("_metadata.file_path"))[1]
+        elif model_from == "folder":
+            model = fd.path_parts(F.col("_metadata.file_path"))[0]
         else:
             model = F.regexp_extract(F.col("_metadata.file_path"), r"/model=([^/]+)/", 1)
         df = df.withColumn("model", model)
@@ -90,12 +110,13 @@ def read_predictions(spark: SparkSession, dirs: Sequence[str], schema: T.StructT
 
 # A4 --------------------------------------------------------------------------
 def read_histograms(spark: SparkSession, path: str, key: str = "episode_id",
-                    map_col: str = "ratings_histogram") -> DataFrame:
+                    map_col: str = "ratings_histogram", multiline: bool = False) -> DataFrame:
     """Records with a ``{star: votes}`` map whose keys are text -> rows
-    ``(key, star int, votes long)``."""
+    ``(key, star int, votes long)``. ``multiline`` reads indented arrays; a
+    record that does not parse is an error."""
     schema = T.StructType([T.StructField(key, T.StringType()),
                            T.StructField(map_col, T.MapType(T.StringType(), T.LongType()))])
-    df = spark.read.schema(schema).json(path)
+    df = spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
     e = df.select(key, F.explode(map_col).alias("__k", "votes"))
     return e.select(key, F.expr("try_cast(__k AS INT)").alias("star"), "votes")
 
@@ -103,7 +124,7 @@ def read_histograms(spark: SparkSession, path: str, key: str = "episode_id",
 # A5 --------------------------------------------------------------------------
 def read_url_list(spark: SparkSession, path: str) -> DataFrame:
     """Text file, one URL per line: trimmed, blank lines dropped."""
-    t = spark.read.text(path).select(F.trim("value").alias("url"))
+    t = spark.read.text(path).select(utrim("value").alias("url"))
     return t.filter(F.col("url") != "")
 
 

@@ -1,52 +1,90 @@
 """K2: apply label posts as they arrive; the newest post per scene wins.
 
-Each micro-batch is validated (I2), merged with the current table version
-(I1: union + newest per key by partial aggregation) and written as a new
-version folder; readers take the highest version. No table format with
-in-place MERGE is assumed, so versions replace updates.
+The table is a set of versions, each a folder that holds only the buckets (a
+hash of the key) it changed; a bucket's content is that of the highest version
+that has it. A micro-batch is validated (I2), reads and merges the buckets its
+posts fall into (I1: union + newest per key by partial aggregation) and writes
+them as a new version, the highest plus one. A version's name carries the
+stream's id and epoch: a replayed epoch finds its version and does nothing, and
+a new checkpoint on an old table simply goes on. Rejected posts are appended to
+``_rejects`` with the reason. No table format with in-place MERGE is assumed.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from moodframe.operators.labels import upsert_labels, validate_labels
+from moodframe.operators.scoring import path_exists
+
+#: Buckets of a label table; fixed when the table is made.
+BUCKETS = 64
+_VERSION = re.compile(r"v(\d+)-(.+)-(\d+)$")
 
 
-def _versions(spark: SparkSession, table_path: str) -> list[str]:
+def _listed(spark: SparkSession, path: str) -> list[str]:
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(table_path)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-    done = []
-    for n in names:
-        if n.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{table_path}/{n}/_SUCCESS")):
-            done.append(n)
-    return sorted(done)
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+
+
+def _versions(spark: SparkSession, table_path: str) -> list[tuple[int, str, str, int]]:
+    """(number, folder, stream, epoch) of the complete versions, in order."""
+    found = [(int(m[1]), n, m[2], int(m[3])) for n in _listed(spark, table_path) if (m := _VERSION.match(n))]
+    return sorted(v for v in found if path_exists(spark, f"{table_path}/{v[1]}/_SUCCESS"))
+
+
+def _bucket(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def _current_paths(spark: SparkSession, table_path: str) -> dict[int, str]:
+    """Folder of the newest content of each bucket."""
+    paths = {}
+    for _, folder, _, _ in _versions(spark, table_path):
+        for b in _listed(spark, f"{table_path}/{folder}"):
+            if b.startswith("bucket="):
+                paths[int(b[7:])] = f"{table_path}/{folder}/{b}"
+    return paths
 
 
 def read_latest_version(spark: SparkSession, table_path: str) -> DataFrame | None:
-    v = _versions(spark, table_path)
-    return spark.read.parquet(f"{table_path}/{v[-1]}") if v else None
+    paths = _current_paths(spark, table_path)
+    return spark.read.parquet(*paths.values()) if paths else None
 
 
 def stream_upsert_labels(spark: SparkSession, in_path: str, schema: StructType, table_path: str,
                          checkpoint: str, key: str = "scene_id", time_col: str = "updated_at",
                          tie=None, fmt: str = "parquet", max_files_per_trigger: int | None = None):
     def batch(df: DataFrame, epoch_id: int) -> None:
-        good, _ = validate_labels(df, key, check_unique=False)
-        cur = read_latest_version(spark, table_path)
-        merged = upsert_labels(cur, good, key, time_col, tie) if cur is not None else \
-            upsert_labels(good.limit(0), good, key, time_col, tie)
-        # a replayed epoch rewrites the same version folder
-        merged.write.mode("overwrite").parquet(f"{table_path}/v{epoch_id:010d}")
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        versions = _versions(spark, table_path)
+        if any((s, e) == (stream, epoch_id) for _, _, s, e in versions):
+            return
+        good, bad = validate_labels(df, key, check_unique=False)
+        bad.withColumn("stream", F.lit(stream)).withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite").parquet(
+            f"{table_path}/_rejects/{stream}-{epoch_id}")
+        good = good.withColumn("bucket", _bucket(key))
+        touched = {r.bucket for r in good.select("bucket").distinct().collect()}  # at most BUCKETS
+        paths = [p for b, p in _current_paths(spark, table_path).items() if b in touched]
+        current = spark.read.parquet(*paths) if paths else spark.createDataFrame([], good.drop("bucket").schema)
+        merged = upsert_labels(current, good.drop("bucket"), key, time_col, tie).withColumn("bucket", _bucket(key))
+        number = versions[-1][0] + 1 if versions else 0
+        merged.repartition("bucket").write.partitionBy("bucket").parquet(f"{table_path}/v{number:010d}-{stream}-{epoch_id}")
 
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return (reader.load(in_path).writeStream.foreachBatch(batch)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def read_rejects(spark: SparkSession, table_path: str) -> DataFrame | None:
+    """Posts that validation rejected, with reason, stream and epoch."""
+    found = _listed(spark, f"{table_path}/_rejects")
+    return spark.read.parquet(*(f"{table_path}/_rejects/{n}" for n in found)) if found else None

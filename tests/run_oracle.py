@@ -17,7 +17,7 @@ from moodframe.session import build_session  # noqa: E402
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
-    spark = build_session("local[8]", 8)
+    spark = build_session("local[4]", 8)
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     summary = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from moodframe.session import scratch_path
-from moodframe.streaming.labels import read_latest_version, stream_upsert_labels
+from moodframe.streaming.labels import _listed, _versions, read_latest_version, read_rejects, stream_upsert_labels
 from moodframe.streaming.scores import stream_scores
 
 
@@ -43,3 +43,30 @@ def test_stream_upsert_newest_wins_across_batches(spark):
     got = {r["scene_id"]: (r["funny"], r["sad"]) for r in read_latest_version(spark, f"{base}/table").collect()}
     # b's newer post is invalid (9), so its older valid label stays
     assert got == {"a": (5, 5), "b": (2, 2)}
+
+
+def test_new_checkpoint_goes_on_with_the_table(spark):
+    base = scratch_path(spark, "test-k2-new")
+    schema = "scene_id string, funny int, sad int, updated_at timestamp_ntz, event_id long"
+    post = lambda *rows: spark.createDataFrame([(k, f, s, None, e) for k, f, s, e in rows], schema)
+    for part, rows in enumerate([[("a", 1, 1, 1), ("b", 2, 2, 2)], [("a", 3, 3, 3), ("c", 9, 1, 4)]]):
+        post(*rows).write.parquet(f"{base}/in{part}/part=0")
+        for _ in range(2):  # the second start of a finished stream changes nothing
+            stream_upsert_labels(spark, f"{base}/in{part}/*", post().schema, f"{base}/table", f"{base}/ckpt{part}", tie="event_id").awaitTermination()
+    got = {r["scene_id"]: r["funny"] for r in read_latest_version(spark, f"{base}/table").collect()}
+    assert got == {"a": 3, "b": 2}
+    assert [(r["scene_id"], r["reason"]) for r in read_rejects(spark, f"{base}/table").collect()] == [("c", "rating outside 1..5")]
+
+
+def test_a_batch_rewrites_only_touched_buckets(spark):
+    base = scratch_path(spark, "test-k2-buckets")
+    df = spark.range(500).select(F.concat(F.lit("s"), "id").alias("scene_id"), F.lit(1).alias("funny"), F.lit(1).alias("sad"),
+                                 F.lit(None).cast("timestamp_ntz").alias("updated_at"), "id")
+    df.write.parquet(f"{base}/in/part=0")
+    stream_upsert_labels(spark, f"{base}/in/*", df.schema, f"{base}/table", f"{base}/ckpt", tie="id").awaitTermination()
+    df.limit(1).withColumn("funny", F.lit(5)).withColumn("id", F.lit(1000).cast("long")).write.parquet(f"{base}/in/part=1")
+    stream_upsert_labels(spark, f"{base}/in/*", df.schema, f"{base}/table", f"{base}/ckpt", tie="id").awaitTermination()
+    last = _versions(spark, f"{base}/table")[-1][1]
+    assert len(_listed(spark, f"{base}/table/{last}")) == 1
+    now = read_latest_version(spark, f"{base}/table")
+    assert now.count() == 500 and now.filter("funny = 5").count() == 1
