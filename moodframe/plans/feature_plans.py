@@ -116,6 +116,19 @@ def fit_heads(spark, sf_dir):
     return ft.score_heads(e, models, "embedding").select("vec_id", "predicted_funny", "predicted_sad")
 
 
+@plan("heads_against_majority", "SELECT 'funny' AS axis, true AS at_least_majority UNION ALL SELECT 'sad', true")
+def heads_against_majority(spark, sf_dir):
+    """Whether each head is right on its training rows at least as often as the
+    most frequent class would be."""
+    e = table(spark, sf_dir, "embeddings").select(
+        "embedding", (F.col("label") % 5 + 1).alias("funny"), (F.floor(F.col("label") / 2) % 5 + 1).cast("int").alias("sad"))
+    scored = ft.score_heads(e, ft.fit_heads(e, "embedding", max_iter=30), "embedding")
+    counts = scored.select(F.inline(F.array(*(
+        F.struct(F.lit(a).alias("axis"), F.col(a).cast("int").alias("label"), (F.col(a) == F.col(f"predicted_{a}")).alias("hit"))
+        for a in ("funny", "sad"))))).groupBy("axis", "label").agg(F.count("*").alias("n"), F.count_if("hit").alias("hits"))
+    return counts.groupBy("axis").agg((F.sum("hits") >= F.max("n")).alias("at_least_majority"))
+
+
 LOG_SQL = """
 log AS (SELECT CAST(event_id % 16 AS INTEGER) AS run, CAST(day(ts) AS INTEGER) AS epoch,
                CASE WHEN event_type IN ('view', 'click') THEN 'validate' ELSE 'train' END AS phase,

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from moodframe.functions.fields import episode_controls, episode_id_build
+from moodframe.functions.fields import SEASON_LENGTHS, episode_controls, episode_id_build
 from moodframe.operators import metrics as mt
 from moodframe.operators import stats as st
 from moodframe.plans.registry import plan
@@ -20,6 +20,7 @@ from moodframe.plans.tables import table
 RATING_COLS = ["funny_mean", "funny_var", "funny_change", "sad_mean", "sad_var", "sad_change"]
 HIST_COLS = ["imdb_rating_mean", "imdb_rating_variance", "imdb_rating_share_1", "imdb_rating_share_10"]
 METRIC_COLS = RATING_COLS + HIST_COLS
+SEASON_CASE = " ".join(f"WHEN {s} THEN {n}" for s, n in SEASON_LENGTHS.items())
 
 
 def _r(c, places=6):
@@ -99,8 +100,7 @@ em AS (
          CAST(rm.user_id % 6 + 1 AS INTEGER) AS season,
          CAST(rm.user_id // 6 + 1 = 1 AS INTEGER) AS is_premiere,
          CAST(coalesce(rm.user_id // 6 + 1 =
-              CASE rm.user_id % 6 + 1 WHEN 1 THEN 24 WHEN 2 THEN 22 WHEN 3 THEN 22 WHEN 4 THEN 25
-                                      WHEN 5 THEN 24 WHEN 6 THEN 22 END, false) AS INTEGER) AS is_finale
+              CASE rm.user_id % 6 + 1 """ + SEASON_CASE + """ END, false) AS INTEGER) AS is_finale
   FROM rm JOIN hm USING (user_id)
 )"""
 
@@ -144,8 +144,7 @@ def attach_histogram_metrics(spark, sf_dir):
 @plan("episode_controls", """
 SELECT o_orderkey, CAST(year(o_orderdate) - 1991 AS INTEGER) AS season,
        CAST(day(o_orderdate) = 1 AS INTEGER) AS is_premiere,
-       CAST(coalesce(day(o_orderdate) = CASE year(o_orderdate) - 1991 WHEN 1 THEN 24 WHEN 2 THEN 22
-            WHEN 3 THEN 22 WHEN 4 THEN 25 WHEN 5 THEN 24 WHEN 6 THEN 22 END, false) AS INTEGER) AS is_finale
+       CAST(coalesce(day(o_orderdate) = CASE year(o_orderdate) - 1991 """ + SEASON_CASE + """ END, false) AS INTEGER) AS is_finale
 FROM orders
 """)
 def episode_controls_plan(spark, sf_dir):
@@ -280,3 +279,35 @@ def ols_grid(spark, sf_dir):
     specs = st.ols_grid(GRID_TARGETS, GRID_FEATURES, GRID_CONTROLS)
     coefs, fits = st.ols_fit(m, specs, keys=["source"])
     return coefs.join(fits.select("source", "fit", "nobs", "r2", "adj_r2", "f_stat", "aic", "bic"), ["source", "fit"])
+
+
+def _pairs_sql() -> str:
+    """Every two-feature fit of the grid in closed form."""
+    parts = []
+    for t in GRID_TARGETS:
+        for a, b in GRID_FEATURES:
+            parts.append(f"""
+SELECT source, '{t} ~ {a} + {b}' AS fit, count(*) AS n, var_pop({a}) AS saa, var_pop({b}) AS sbb, covar_pop({a}, {b}) AS sab,
+       covar_pop({a}, {t}) AS sat, covar_pop({b}, {t}) AS sbt, var_pop({t}) AS stt, avg({a}) AS ma, avg({b}) AS mb, avg({t}) AS mt
+FROM em WHERE {t} IS NOT NULL AND {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY source""")
+    return " UNION ALL ".join(parts)
+
+
+@plan("ols_grid_pairs", METRICS_SQL + ", g AS (" + _pairs_sql() + """),
+c AS (SELECT *, (sbb * sat - sab * sbt) / (saa * sbb - sab * sab) AS b1, (saa * sbt - sab * sat) / (saa * sbb - sab * sab) AS b2
+      FROM g WHERE n > 3 AND saa * sbb - sab * sab > 1e-9 * saa * sbb AND stt > 0)
+SELECT source, fit, n AS nobs, round(mt - b1 * ma - b2 * mb, 6) AS b0, round(b1, 6) AS b1, round(b2, 6) AS b2,
+       round((b1 * sat + b2 * sbt) / stt, 6) AS r2
+FROM c
+""")
+def ols_grid_pairs(spark, sf_dir):
+    m = episode_metrics(spark, sf_dir)
+    specs = st.ols_grid(GRID_TARGETS, GRID_FEATURES)
+    coefs, fits = st.ols_fit(m, specs, keys=["source"], with_tests=False)
+    first = {spec.label: spec.features[0] for spec in specs}
+    which = F.when(F.col("term") == "Intercept", "b0").when(
+        F.col("term").isin(*set(first.values())), "b1").otherwise("b2")
+    wide = coefs.withColumn("slot", which).groupBy("source", "fit").agg(*(
+        F.max(F.when(F.col("slot") == s, F.col("coef"))).alias(s) for s in ("b0", "b1", "b2")))
+    good = fits.filter("not singular and df_resid > 0 and r2 is not null").select("source", "fit", "nobs", "r2")
+    return wide.join(good, ["source", "fit"]).select("source", "fit", "nobs", _r("b0"), _r("b1"), _r("b2"), _r("r2"))
