@@ -36,7 +36,9 @@ from pyspark.sql import functions as F
 
 from moodframe.llm.common import parallelism, stored
 
-LENGTH, GRAM, HOT = 400, 32, 1000
+LENGTH, GRAM, HOT = 400, 32, 10_000
+#: Strings whose windows a task holds at a time, unless one gram has more.
+HELD = 2_000
 #: Bytes that are hashed at a time; positions within take 24 bits of a sort key.
 CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -124,7 +126,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
     kind = texts.schema["doc"].dataType.simpleString()
     columns = f"doc {kind}, at long, gram long, before int, after int, name long"
     found = stored(texts.mapInArrow(sampled, columns), "samples")
-    many = found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    # stored, so that the join shuffles both sides and a hot gram's rows can be split
+    many = stored(found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "grams")
     found = stored(found.join(many, "gram"), "samples")
     key = ["gram", "before", "after", "name"]
     names = found.groupBy(key).agg(F.count("*").alias("copies"), F.min(F.struct("doc", "at")).alias("one"))
@@ -176,6 +179,17 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
                                      pa.array(begin + place[last] + length, pa.int64())], names=["doc", "begin", "end"])
 
     def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by("gram").combine_chunks()
+        grams = table.column("gram").to_numpy()
+        ends = np.r_[np.flatnonzero(grams[1:] != grams[:-1]) + 1, len(grams)]
+        found, begin = [], 0
+        for k, end in enumerate(ends):  # whole grams, about HELD strings at a time
+            if k + 1 == len(ends) or ends[k + 1] - begin > HELD:
+                found.append(marked_runs(table.slice(begin, end - begin)))
+                begin = end
+        return pa.concat_tables(found)
+
+    def marked_runs(table: pa.Table) -> pa.Table:
         row, place, g, distance, name = windows(table)
         order = np.lexsort((name, distance, g))
         same = (g[order[1:]] == g[order[:-1]]) & (distance[order[1:]] == distance[order[:-1]]) & (name[order[1:]] == name[order[:-1]])
