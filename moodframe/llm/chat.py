@@ -205,7 +205,6 @@ def recover_roles(turns: DataFrame, model: Model, conv: str = "conv_id", turn: s
 
     units = _units(turns, conv, turn, text, None)
     kind = units.schema["conv"].dataType.simpleString()
-    units = units.repartition("conv", "block")  # both passes over the blocks use this one
     matrices = units.groupBy("conv", "block").applyInArrow(reduced, f"conv {kind}, block long, best array<double>")
     ends = stored(matrices.groupBy("conv").applyInArrow(borders, f"conv {kind}, block long, before int, last int"), "chat")
     known = units.alias("u").join(ends.alias("e"), F.col("u.conv").eqNullSafe(F.col("e.conv")) & (F.col("u.block") == F.col("e.block"))).select(
