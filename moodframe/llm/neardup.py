@@ -8,10 +8,12 @@
   ``TABLES`` sketches with independent hashes miss a pair at the threshold with
   probability (1 - 0.8 ** RETAINED) ** TABLES, about 3e-6.
 * Texts that share a sketch are compared, but not all with all: within a bucket
-  each with the lowest one and with its neighbour in an order by another sketch.
-  Then the components of the links found are formed, and within each bucket the
-  lowest text outside the first component is compared with one text of every
-  other component, and so on until a round finds no new link.
+  each with the text whose buckets are the fullest (the original that many are
+  copies of) and with its neighbours in an order by the next sketches.
+  The components of the links found are formed, and where a bucket still holds
+  several, texts that stand for them are compared, with new draws every round,
+  until a round finds no new link. A text's pairs grow with its buckets, never
+  with the size of a group.
 * A candidate pair is verified by aligning the two k-mer sequences inside a band
   around the diagonal: the longest chain of common k-mers in the order of both.
   Its length over the number of distinct k-mers of both is the similarity.
@@ -36,6 +38,8 @@ from moodframe.llm.components import components
 
 WORDS, THRESHOLD = 5, 0.8
 TABLES, RETAINED = 24, 4
+#: Further sketches by which a bucket is ordered.
+NEAR = 6
 _FULL = np.uint64(2 ** 64 - 1)
 
 
@@ -169,37 +173,65 @@ def similar_texts(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, D
     MD5 of a text."""
     texts = docs.select(F.unhex(F.md5(text_col)).alias("node"), F.col(text_col).alias("text")).filter("text is not null")
     sketched = texts.mapInArrow(_buckets, "node binary, keys array<long>")
-    members = sketched.dropDuplicates(["node"]).select(
-        "node", F.posexplode("keys").alias("t", "key"), F.get("keys", F.lit(0)).alias("near"))
+    members = sketched.dropDuplicates(["node"]).select("node", "keys", F.posexplode("keys").alias("t", "key")).select(
+        "t", "key", "node", F.transform(F.sequence(F.lit(1), F.lit(NEAR)), lambda k: F.get("keys", (F.col("t") + k) % TABLES)).alias("near"))
     bucket = ["t", "key"]
-    sizes = members.groupBy(bucket).agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1")
-    members = stored(members.join(sizes, bucket).select(*bucket, "node", "near", "leader"), "buckets")
-    ring = Window.partitionBy(bucket).orderBy("near", "node")
-    pairs = members.select(*_ordered(F.col("leader"), F.col("node"))).unionByName(
-        members.withColumn("before", F.lag("node").over(ring)).filter("before is not null")
-        .select(*_ordered(F.col("before"), F.col("node")))).filter("u <> v").distinct()
-    pairs = stored(pairs, "pairs")
+    sizes = members.groupBy(bucket).agg(F.count("*").alias("n")).filter("n > 1")
+    members = stored(members.join(sizes, bucket), "buckets")
+    # the text whose buckets are the fullest is the one that the others are copies of
+    rank = members.groupBy("node").agg(F.sum("n").alias("rank"))
+    members = members.join(rank, "node")
+    leaders = members.groupBy(bucket).agg(F.max(F.struct("rank", "node")).alias("top"))
+    members = stored(members.join(leaders, bucket).select(*bucket, "node", "near", "rank", F.col("top.node").alias("leader")), "buckets")
+    chain = Window.partitionBy(bucket).orderBy("near", "node")
+    ahead = members.select("node", "leader", F.lag("node", 1).over(chain).alias("one"), F.lag("node", 2).over(chain).alias("two"))
+    pairs = ahead.select("node", F.explode(F.array("leader", "one", "two")).alias("other")).filter("other is not null").select(
+        *_ordered(F.col("node"), F.col("other"))).filter("u <> v").distinct()
+    done = stored(pairs, "pairs")
     wanted = members.select("node").distinct()
     kmers = stored(texts.join(wanted, "node").dropDuplicates(["node"]).mapInArrow(_kmers, "node binary, kmers binary"), "kmers")
-    links = stored(_verified(pairs, kmers), "links")
+    links = stored(_verified(done, kmers), "links")
     classes = stored(components(links), "classes")
-    done, round_ = pairs, 0
+    open_, round_ = members.select(*bucket, "node", "rank"), 0
     while True:
-        # one text per component and bucket; the components beyond those that have led
-        named = members.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        held = named.groupBy(*bucket, "component").agg(F.min("node").alias("node"))
-        order = Window.partitionBy(bucket).orderBy("component")
-        led = held.withColumn("rank", F.row_number().over(order)).withColumn(
-            "leader", F.nth_value("node", round_ + 2).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-        more = led.filter(f"leader is not null and rank <> {round_ + 2}").select(*_ordered(F.col("leader"), F.col("node"))).distinct()
-        more = stored(more.join(done, ["u", "v"], "left_anti"), "pairs")
-        new = stored(_verified(more, kmers), "links")
-        if new.isEmpty():
-            break
-        done, links = done.unionByName(more), links.unionByName(new)
-        classes = stored(components(links), "classes")
-        round_ += 1
-    return links, classes
+        open_ = stored(_open_buckets(open_, classes, bucket), "buckets")
+        new = stored(_between_components(open_, bucket, round_).join(done, ["u", "v"], "left_anti"), "pairs")
+        found = stored(_verified(new, kmers), "links")
+        if found.isEmpty():
+            return links, classes
+        done, links = done.unionByName(new), links.unionByName(found)
+        classes = stored(_merged(classes, found), "classes")
+        open_, round_ = open_.select(*bucket, "node", "rank"), round_ + 1
+
+
+def _open_buckets(members: DataFrame, classes: DataFrame, bucket: list[str]) -> DataFrame:
+    """The members, with their components, of buckets that hold two or more components."""
+    named = members.join(classes, "node", "left").select(*bucket, "node", "rank", F.coalesce("component", "node").alias("component"))
+    several = named.groupBy(bucket).agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    return named.join(several.select(bucket), bucket)
+
+
+def _between_components(members: DataFrame, bucket: list[str], round_: int) -> DataFrame:
+    """Pairs of texts that stand for different components of a bucket: in the
+    first round the highest ranked, later one drawn anew for each bucket and
+    round. In a random order each meets those 1, 2, 4 and 8 places on."""
+    draw = F.struct(F.xxhash64(F.lit(round_), *bucket, "node") if round_ else -F.col("rank"), "node")
+    picked = members.groupBy(*bucket, "component").agg(F.min_by("node", draw).alias("node"))
+    ring = Window.partitionBy(bucket).orderBy(F.xxhash64(F.lit(round_), "component"), "component")
+    others = picked.select("node", *(F.lead("node", d).over(ring).alias(f"at{d}") for d in (1, 2, 4, 8)))
+    met = others.select("node", F.explode(F.array("at1", "at2", "at4", "at8")).alias("other"))
+    return met.filter("other is not null").select(*_ordered(F.col("node"), F.col("other"))).distinct()
+
+
+def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes after further links, by the components of the components."""
+    ends = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    every = classes.unionByName(ends.join(classes, "node", "left_anti").select("node", F.col("node").alias("component")))
+    name = every.select(F.col("node").alias("u"), F.col("component").alias("cu"))
+    between = links.select("u", "v").join(name, "u").join(name.select(F.col("u").alias("v"), F.col("cu").alias("cv")), "v")
+    roots = components(between.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
+    return every.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left").select(
+        "node", F.coalesce("root", "component").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
