@@ -216,17 +216,19 @@ def _season_files(spark, sf_dir):
     docs = docs.withColumn("source", F.lit("My Thing transcript")).withColumn("episode", F.col("episode").cast("string"))
     arrays = docs.groupBy("season").agg(_indented(docs, ["source", "episode", "scenes"]).alias("value"))
     _write_as_files(arrays, path, F.format_string("Season %d Transcripts", "season"), F.lit("ep_03_My_Thing.json"))
-    extra = spark.createDataFrame([
-        ("Season 1 Transcripts", "ep_07_Object.json", '[{"episode": {"n": 4}, "scenes": [{"text": "object"}]}]'),
-        ("Season 1 Transcripts", "ep_08_Broken.json", '[{"scenes": '),
-        ("Notes", "ep_01_A.json", '[{"scenes": []}]')], "folder string, name string, value string")
+    # an object as episode, a broken record, and a file outside of the season folders for each season
+    season, notes = F.format_string("Season %d Transcripts", "season"), F.format_string("Notes %d", "season")
+    files = [(season, "ep_07_Object.json", '[{"episode": {"n": 4}, "scenes": [{"text": "object"}]}]'),
+             (season, "ep_08_Broken.json", '[{"scenes": '), (notes, "ep_01_A.json", '[{"scenes": []}]')]
+    extra = docs.select("season").distinct().select(F.inline(F.array(*(
+        F.struct(folder.alias("folder"), F.lit(name).alias("name"), F.lit(value).alias("value")) for folder, name, value in files))))
     _write_as_files(extra, path, F.col("folder"), F.col("name"))
     return path
 
 
 @plan("read_season_folders", _POS_SQL + """
 SELECT season, episode, 'My Thing' AS title, CAST(scene_idx AS INTEGER) AS scene_idx, scene_id, position, text FROM sp
-UNION ALL SELECT 1, 0, 'Object', 0, '1_00_1', NULL, 'object'
+UNION ALL SELECT DISTINCT season, 0, 'Object', 0, season || '_00_1', NULL::DOUBLE, 'object' FROM sp
 """)
 def read_season_folders(spark, sf_dir):
     e = rd.read_episodes(spark, f"{_season_files(spark, sf_dir)}/*/*.json")
@@ -234,12 +236,15 @@ def read_season_folders(spark, sf_dir):
 
 
 @plan("episode_rejects", """
-SELECT 'ep_08_Broken' AS stem, 'broken record' AS reason UNION ALL SELECT 'ep_01_A', 'not in a season folder'
+WITH s AS (SELECT DISTINCT conv_id % 6 + 1 AS season FROM conversations)
+SELECT 'Season ' || season || ' Transcripts' AS folder, 'ep_08_Broken' AS stem, 'broken record' AS reason FROM s
+UNION ALL SELECT 'Notes ' || season, 'ep_01_A', 'not in a season folder' FROM s
 """)
 def episode_rejects(spark, sf_dir):
     from moodframe.functions.fields import path_parts
     r = rd.episode_rejects(spark, f"{_season_files(spark, sf_dir)}/*/*.json")
-    return r.select(path_parts("path")[1].alias("stem"), "reason")
+    folder, stem = path_parts("path")
+    return r.select(folder.alias("folder"), stem.alias("stem"), "reason")
 
 
 @plan("read_indented_predictions", "WITH " + PRED_SQL + """
