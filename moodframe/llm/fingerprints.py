@@ -5,8 +5,9 @@ lies within a band, for several randomised subsets of the lexicon.
 * Lexicon: terms in a share of ``LOW`` to ``HIGH`` of all documents (and in two
   at least). The frequencies of all distinct terms add up to documents x mean
   distinct terms, so the lexicon has at most (mean distinct terms / ``LOW``)
-  entries, however many documents there are. That bound makes it safe to
-  broadcast.
+  entries, however many documents there are. It is written once and counted: up
+  to ``BROADCAST_ROWS`` entries it is broadcast, beyond (documents with very many
+  terms each) it is joined by shuffling.
 * Subsets: subset k keeps a term if a byte of the term's hash is below the
   subset's rate. Low rates leave a long document a few terms, high rates a short
   one, so some subsets survive a partial edit whatever the length. One more hash
@@ -23,8 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from moodframe.llm.common import stored
+
 SEPARATOR = r"[^\p{L}\p{N}]+"
 LOW, HIGH = 0.0005, 0.005
+BROADCAST_ROWS = 2_000_000
 #: Of 256, the terms that each subset keeps.
 RATES = [256] + [32] * 3 + [16] * 4 + [8] * 6 + [4] * 6 + [2] * 6 + [1] * 6
 #: Characters of a hash, and the hash of no terms.
@@ -59,8 +63,8 @@ def lexicon(docs: DataFrame, text_col: str = "text", low: float = LOW, high: flo
     mask = [F.when(F.substring("h", 2 * k + 1, 2) < cutoff(r), F.lit(1 << k).cast("long")).otherwise(0)
             for k, r in enumerate(RATES)]
     name = F.conv(F.substring("h", 57, 8), 16, 10).cast("long") % (1 << 31)
-    return counted.filter(F.col("count").between(fewest, most)).select("term", h.alias("h")).select(
-        "term", (name * (1 << 32) + sum(mask[1:], mask[0])).alias("entry"))
+    return stored(counted.filter(F.col("count").between(fewest, most)).select("term", h.alias("h")).select(
+        "term", (name * (1 << 32) + sum(mask[1:], mask[0])).alias("entry")), "lexicon")
 
 
 def fingerprints(df: DataFrame, lex: DataFrame, keys: list[str], texts: list[str]) -> DataFrame:
@@ -82,7 +86,8 @@ def fingerprints(df: DataFrame, lex: DataFrame, keys: list[str], texts: list[str
     first = F.expr("array(named_struct('of', -1, 'term', cast(null as string), 'row', row))")
     rest = [F.expr(f"transform(t{i}, x -> named_struct('of', {i}, 'term', x, 'row', if(true, null, row)))") for i in n]
     single = found.select("a", "b", F.explode_outer(F.concat(first, *rest)).alias("x")).select("a", "b", "x.*")
-    kept = single.join(F.broadcast(lex), "term", "left").filter("of < 0 or entry is not null")
+    known = F.broadcast(lex) if lex.count() <= BROADCAST_ROWS else lex
+    kept = single.join(known, "term", "left").filter("of < 0 or entry is not null")
     band = kept.groupBy("a", "b").agg(
         F.first("row", ignorenulls=True).alias("row"), F.count_if(F.col("of") < 0).alias("copies"),
         *(F.sort_array(F.collect_set(F.when(F.col("of") == i, F.col("entry")))).alias(f"b{i}") for i in n))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodframe.llm import fingerprints as fp
-from moodframe.llm import chat, html, lines, mixing, neardup, packing, pii, quality, substrings
+from moodframe.llm import chat, html, lines, mixing, neardup, oracles, packing, pii, quality, substrings
 from moodframe.llm.common import stored, table
 from moodframe.llm.neighbours import with_next
 
@@ -33,7 +33,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), str(path), with_ids=False)
 
 
-@query("op5_pii")
+@query("op5_pii", oracles.PII)
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
 
@@ -136,18 +136,18 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
 
 
-@query("op4_neardup")
+@query("op4_neardup", oracles.NEARDUP)
 def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query("op9_lines")
+@query("op9_lines", oracles.LINES)
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs)
 
 
-@query("op10_html")
+@query("op10_html", oracles.HTML)
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -158,6 +158,6 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.recover_roles(turns, chat.fit_roles(turns))
 
 
-@query("op2_substrings")
+@query("op2_substrings", oracles.SUBSTRINGS)
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")

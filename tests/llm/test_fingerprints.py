@@ -40,6 +40,14 @@ def test_equal_texts_equal_fingerprints_and_awkward_rows(spark):
         assert len(r.text_hashes) == fp.WIDTH * (len(fp.RATES) + 1)
 
 
+def test_large_lexicon_is_joined_alike(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    lex = fp.lexicon(docs)
+    want = {r.doc_id: r.text_hashes for r in fp.fingerprints(docs, lex, ["doc_id"], ["text"]).collect()}
+    monkeypatch.setattr(fp, "BROADCAST_ROWS", 0)
+    assert {r.doc_id: r.text_hashes for r in fp.fingerprints(docs, lex, ["doc_id"], ["text"]).collect()} == want
+
+
 def test_query_on_awkward_rows(spark, tmp_path):
     docs = awkward(spark)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
