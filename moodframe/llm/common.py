@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from moodframe.session import scratch_path
 
@@ -22,5 +23,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, name: str, limit: int = 100_000) -> DataFrame:
+    """``df`` written and counted: broadcast if it has at most ``limit`` rows, so
+    that the other side of a join stays where it is; else joined by shuffling."""
+    df = stored(df, name)
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

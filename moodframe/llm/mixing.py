@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodframe.llm.common import WORD, stored
+from moodframe.llm.common import WORD, small, stored
 
 WEIGHTS, BUDGET, MOST = (3, 1, 2), 1.5, 2.0
 #: Rows of a group, on average.
@@ -91,7 +91,7 @@ def _groups(open_rows: DataFrame, level: int, seed: int) -> tuple[DataFrame, int
     """Deal the open rows of each source into groups at random, fold each group
     and store (source, open, done). Returns it and the most groups of a source."""
     counts = open_rows.groupBy("source").agg(F.count("*").alias("rows"))
-    counts = counts.withColumn("groups", F.greatest(F.lit(1), F.ceil(F.col("rows") / GROUP)).cast("long"))
+    counts = small(counts.withColumn("groups", F.greatest(F.lit(1), F.ceil(F.col("rows") / GROUP)).cast("long")), "mix-groups")
     most = counts.agg(F.max("groups")).first()[0] or 0
     dealt = open_rows.alias("o").join(counts.alias("c"), F.col("o.source").eqNullSafe(F.col("c.source"))).select(
         F.col("o.source").alias("source"), F.col("o.item").alias("item"),
@@ -120,7 +120,7 @@ def mix(units: DataFrame, key_col: str = "key", source_col: str = "source", size
     sizes = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     targets = source_targets(sizes, weights, budget, most)
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    targets = targets.withColumn("sure", F.floor(share).cast("int")).withColumn("rest", share - F.floor(share))
+    targets = small(targets.withColumn("sure", F.floor(share).cast("int")).withColumn("rest", share - F.floor(share)), "mix-targets")
     units_ = counted.alias("u").join(targets.alias("t"), F.col("u.source").eqNullSafe(F.col("t.source"))).select(
         F.col("u.source").alias("source"), "key", "size", "source_size", "target", "sure", "rest",
         F.explode(F.sequence(F.lit(1), F.col("n"))).alias("occ"))
