@@ -12,8 +12,12 @@
   copies of) and with its neighbours in an order by the next sketches.
   The components of the links found are formed, and where a bucket still holds
   several, texts that stand for them are compared, with new draws every round,
-  until a round finds no new link. A text's pairs grow with its buckets, never
-  with the size of a group.
+  until a round finds no new link.
+* What is still in buckets of several components is joined by prefixes, which
+  loses no pair: with all k-mers in one order, rarest first, two similar texts
+  share one of the first ninth of the shorter's k-mers and the first fifth of the
+  longer's. Passages that many texts share come last in that order, so they make
+  no candidates until they alone make texts similar.
 * A candidate pair is verified by aligning the two k-mer sequences inside a band
   around the diagonal: the longest chain of common k-mers in the order of both.
   Its length over the number of distinct k-mers of both is the similarity.
@@ -40,6 +44,9 @@ WORDS, THRESHOLD = 5, 0.8
 TABLES, RETAINED = 24, 4
 #: Further sketches by which a bucket is ordered.
 NEAR = 6
+#: Texts whose k-mers are counted for the order of the prefixes, and k-mers that
+#: are told apart by their counts. Any order finds all pairs, these save work.
+COUNTED, COMMON = 20_000, 500_000
 _FULL = np.uint64(2 ** 64 - 1)
 
 
@@ -198,10 +205,15 @@ def similar_texts(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, D
         new = stored(_between_components(open_, bucket, round_).join(done, ["u", "v"], "left_anti"), "pairs")
         found = stored(_verified(new, kmers), "links")
         if found.isEmpty():
-            return links, classes
+            break
         done, links = done.unionByName(new), links.unionByName(found)
         classes = stored(_merged(classes, found), "classes")
         open_, round_ = open_.select(*bucket, "node", "rank"), round_ + 1
+    if open_.isEmpty():
+        return links, classes
+    rest = stored(_prefix_pairs(open_, kmers).join(done, ["u", "v"], "left_anti"), "pairs")
+    found = stored(_verified(rest, kmers), "links")
+    return links.unionByName(found), stored(_merged(classes, found), "classes")
 
 
 def _open_buckets(members: DataFrame, classes: DataFrame, bucket: list[str]) -> DataFrame:
@@ -223,6 +235,74 @@ def _between_components(members: DataFrame, bucket: list[str], round_: int) -> D
     return met.filter("other is not null").select(*_ordered(F.col("node"), F.col("other"))).distinct()
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for x in b.column("kmers").to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, "<u4").astype(np.int64))], names=["kmer"])
+
+
+def prefixes(x: np.ndarray, common: np.ndarray, times: np.ndarray, threshold: float = THRESHOLD) -> tuple[np.ndarray, int]:
+    """The first k-mers of a text in the order of (times, k-mer), as many as it
+    needs as the longer text of a pair, and how many it needs as the shorter."""
+    at = np.minimum(np.searchsorted(common, x), max(len(common) - 1, 0))
+    seen = np.where(common[at] == x, times[at], 0) if len(common) else np.zeros(len(x), dtype=np.int64)
+    longer = len(x) - int(np.ceil(threshold * len(x) - 1e-9)) + 1
+    shorter = len(x) - int(np.ceil(2 * threshold / (1 + threshold) * len(x) - 1e-9)) + 1
+    return x[np.lexsort((x, seen))[:longer]], shorter
+
+
+def _prefix_pairs(members: DataFrame, kmers: DataFrame) -> DataFrame:
+    """All pairs of texts of different components that can be similar, by the
+    k-mers that their prefixes share."""
+    nodes = stored(members.select("node", "component").distinct(), "nodes")
+    sets = kmers.join(nodes, "node")
+    share = int(min(1.0, COUNTED / max(nodes.count(), 1)) * 1_000_000)
+    counts = sets.filter(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < share).select("kmers").mapInArrow(_counted, "kmer long").groupBy(
+        "kmer").agg(F.count("*").alias("n")).filter("n > 1").orderBy(F.desc("n"), "kmer").limit(COMMON).toPandas()
+    counts = counts.sort_values("kmer")
+    common, times = counts["kmer"].to_numpy(dtype=np.uint32), counts["n"].to_numpy(dtype=np.int64)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                b = batch.slice(at, 500)
+                size, kept, first, short = [], [], [], []
+                for raw in b.column("kmers").to_pylist():
+                    x = np.frombuffer(raw, "<u4")
+                    head, shorter = prefixes(x, common, times)
+                    size.append(len(x))
+                    kept.append(len(head))
+                    first.append(head)
+                    short.append(np.arange(len(head)) < shorter)
+                row = pa.array(np.repeat(np.arange(len(b)), kept))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("node").take(row), b.column("component").take(row), pa.array(np.repeat(size, kept), pa.int32()),
+                     pa.array(np.concatenate([np.arange(k) for k in kept]), pa.int32()), pa.array(np.concatenate(first).astype(np.int64)),
+                     pa.array(np.concatenate(short))], names=["node", "component", "size", "pos", "kmer", "short"])
+
+    rows = sets.select("node", "component", "kmers").mapInArrow(
+        cut, "node binary, component binary, size int, pos int, kmer long, short boolean")
+    rows = stored(rows, "prefixes")
+    several = rows.groupBy("kmer").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("short").alias("any")).filter(
+        "low <> high and any")
+    rows = stored(rows.join(several.select("kmer"), "kmer"), "prefixes")
+    # no k-mer before the first that two prefixes share is common to both, so a row's place bounds the other text's size
+    rows = rows.withColumn("reach", (F.col("size") - F.col("pos")) * ((1 + THRESHOLD) / THRESHOLD) - F.col("size") + 1e-6)
+    # components first, so that the texts of a large one are not paired with each other
+    held = rows.groupBy("kmer", "component").agg(
+        F.min(F.when(F.col("short"), F.col("size"))).alias("least"), F.max(F.when(F.col("short"), F.col("reach"))).alias("reach_x"),
+        F.min("size").alias("low"), F.max("size").alias("high"), F.max("reach").alias("reach_y"))
+    cx = held.filter("least is not null").select("kmer", F.col("component").alias("cx"), "least", "reach_x")
+    cy = held.select("kmer", F.col("component").alias("cy"), "low", "high", "reach_y")
+    between = cx.join(cy, "kmer").filter("cx <> cy and least <= high and least <= reach_y and low <= reach_x").select(
+        "kmer", "cx", "cy", "low", "high", "reach_y")
+    x = rows.filter("short").select("kmer", *(F.col(c).alias(n) for c, n in (("component", "cx"), ("node", "x"), ("size", "nx"), ("reach", "rx"))))
+    y = rows.select("kmer", *(F.col(c).alias(n) for c, n in (("component", "cy"), ("node", "y"), ("size", "ny"), ("reach", "ry"))))
+    met = between.join(x, ["kmer", "cx"]).filter("nx <= high and nx <= reach_y and low <= rx")
+    able = met.join(y, ["kmer", "cy"]).filter("(nx < ny or nx = ny and x < y) and ny <= rx and nx <= ry")
+    return able.select(*_ordered(F.col("x"), F.col("y"))).distinct()
+
+
 def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
     """The classes after further links, by the components of the components."""
     ends = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()

@@ -58,6 +58,37 @@ def test_one_large_group_of_near_copies(spark):
     assert {r.class_id for r in got} == {0} and [r.doc_id for r in got if r.kept] == [0]
 
 
+def test_pairs_among_texts_that_share_most_of_their_words(spark):
+    """Most of every text is the same: unlike enough for classes of their own,
+    but pairs of similar texts may share sketches of that part only."""
+    rng, shared, rows = random.Random(3), " ".join(f"s{k}" for k in range(348)), []
+    for i in range(200):
+        own = [f"w{i}-{k}" for k in range(52)]
+        rows.append(" ".join([shared, *own]))
+        for k in rng.sample(range(0, 52, 6), 8):
+            own[k] = f"new{i}-{k}"
+        rows.append(" ".join([shared, *own]))
+    sets = list(map(kmers, rows))
+    links = [(a, b) for a, b in combinations(range(len(rows)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(rows)], DOCS)
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert len(links) == 200 and got == groups(links, range(len(rows)))
+
+
+@pytest.mark.parametrize("common", [0, 50])
+def test_similar_texts_share_a_kmer_of_their_prefixes(common):
+    rng = np.random.default_rng(4)
+    hot, times = np.arange(common, dtype=np.uint32), np.arange(common, dtype=np.int64) + 2
+    for _ in range(300):
+        x = rng.permutation(200)[:rng.integers(1, 120)].astype(np.uint32)
+        y = np.r_[np.delete(x, rng.integers(0, len(x), rng.integers(0, 13))), rng.integers(1000, 2000, rng.integers(0, 12))].astype(np.uint32)
+        y = np.unique(y)
+        x, y = sorted((x, y), key=len)
+        if len(np.intersect1d(x, y)) >= 0.8 * len(np.union1d(x, y)):
+            (first, shorter), (other, _) = neardup.prefixes(x, hot, times), neardup.prefixes(y, hot, times)
+            assert set(first[:shorter].tolist()) & set(other.tolist())
+
+
 def test_similarity_is_the_aligned_share():
     x = np.arange(100, dtype=np.uint32)
     assert neardup.similarity(x, x) == 1
