@@ -4,6 +4,11 @@ library readers; the result is compared with SQL on the original tables."""
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -207,6 +212,33 @@ def _write_as_files(df, path, folder, name):
         out.close()
 
 
+def _write_arrays(df, path, split=False):
+    """Rows (folder, name, item) as files ``folder/name`` below ``path``, each an
+    indented array of the items of one batch. Tasks write them: with ``split``
+    into a folder per batch (of 10,000 rows at most), so that files of one name
+    are of bounded size; else each (folder, name) must be one row."""
+    def run(batches):
+        files = 0
+        for k, b in enumerate(batches):
+            fs, base = FileSystem.from_uri(path)
+            groups = {}
+            for folder, name, item in zip(*(b.column(c).to_pylist() for c in ("folder", "name", "item")), strict=True):
+                groups.setdefault((folder, name), []).append(item)
+            for (folder, name), items in groups.items():
+                at = f"{base}/{folder} {TaskContext.get().partitionId()}-{k}" if split else f"{base}/{folder}"
+                fs.create_dir(at, recursive=True)
+                # in whole or not at all, also when a task is run again
+                unfinished = f"{at}/_{TaskContext.get().taskAttemptId()}-{files}"
+                with fs.open_output_stream(unfinished) as out:
+                    out.write(("[\n" + ",\n".join(items) + "\n]").encode())
+                fs.move(unfinished, f"{at}/{name}")
+                files += 1
+        yield pa.RecordBatch.from_pydict({"files": [files]})
+
+    path = re.sub("^file:/*", "file:///", path)
+    df.select("folder", "name", "item").mapInArrow(run, "files long").agg(F.sum("files")).collect()
+
+
 def _season_files(spark, sf_dir):
     path = scratch_path(spark, "season-files")
     s = _scenes_with_position(spark, sf_dir)
@@ -214,8 +246,9 @@ def _season_files(spark, sf_dir):
         F.sort_array(F.collect_list(F.struct("scene_idx", "scene_id", "position", "text"))),
         lambda x: F.struct(x["scene_id"], x["position"], x["text"])).alias("scenes"))
     docs = docs.withColumn("source", F.lit("My Thing transcript")).withColumn("episode", F.col("episode").cast("string"))
-    arrays = docs.groupBy("season").agg(_indented(docs, ["source", "episode", "scenes"]).alias("value"))
-    _write_as_files(arrays, path, F.format_string("Season %d Transcripts", "season"), F.lit("ep_03_My_Thing.json"))
+    item = F.to_json(F.struct("source", "episode", "scenes"), {"pretty": "true"})
+    _write_arrays(docs.select(F.format_string("Season %d Transcripts", "season").alias("folder"),
+                              F.format_string("ep_%02d_My_Thing.json", F.col("episode").cast("int")).alias("name"), item.alias("item")), path)
     # an object as episode, a broken record, and a file outside of the season folders for each season
     season, notes = F.format_string("Season %d Transcripts", "season"), F.format_string("Notes %d", "season")
     files = [(season, "ep_07_Object.json", '[{"episode": {"n": 4}, "scenes": [{"text": "object"}]}]'),
