@@ -285,11 +285,17 @@ SELECT 'model ' || model AS model, l_orderkey, l_linenumber, true_funny, predict
 FROM p WHERE l_orderkey < 1000
 """)
 def read_indented_predictions(spark, sf_dir):
+    return _indented_predictions(spark, sf_dir).filter("l_orderkey < 1000")  # the rows that the SQL asks for
+
+
+def _indented_predictions(spark, sf_dir):
+    """All predictions, written to indented arrays and read again."""
     path = scratch_path(spark, "indented-predictions")
-    p = predictions(spark, sf_dir).filter("l_orderkey < 1000")  # one file per model is the shape under test
-    arrays = p.groupBy("model").agg(_indented(p, [c for c in p.columns if c != "model"]).alias("value"))
-    _write_as_files(arrays, path, F.lit("all"), F.format_string("model %s.json", "model"))
-    return rd.read_predictions(spark, [f"{path}/all"], PRED_SCHEMA, multiline=True)
+    p = predictions(spark, sf_dir)
+    item = F.to_json(F.struct(*(c for c in p.columns if c != "model")), {"pretty": "true"})
+    _write_arrays(p.select(F.lit("all").alias("folder"), F.format_string("model %s.json", "model").alias("name"), item.alias("item")),
+                  path, split=True)
+    return rd.read_predictions(spark, [f"{path}/*"], PRED_SCHEMA, multiline=True)
 
 
 @plan("read_indented_histograms", """
