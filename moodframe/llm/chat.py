@@ -9,8 +9,8 @@ another and a feature shows under a role; it is counted on all labelled turns.
 Viterbi finds the likeliest roles of a conversation.
 
 The model is a table of counts of fixed size. Viterbi is a product of small
-matrices in (max, +): a conversation is cut into blocks of ``BLOCK`` turn
-numbers, each block becomes one roles x roles matrix, the matrices of a
+matrices in (max, +): a conversation's distinct rows are numbered and
+cut into blocks of ``BLOCK``, each block becomes one roles x roles matrix, the matrices of a
 conversation are folded in turn, which gives the role before and at the end of
 each block, and every block is traced back alone. A task holds one block's texts
 or one matrix per block, however long a conversation is.
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodframe.llm.common import stored
+from moodframe.operators.sequence import dense_index
 
 ROLES = ("system", "user", "assistant")
 S = len(ROLES)
@@ -91,17 +92,18 @@ def _log_share(counts: np.ndarray) -> np.ndarray:
 
 
 def _units(turns: DataFrame, conv: str, turn: str, text: str, role: str | None) -> DataFrame:
-    """Distinct rows (conv, turn, text, role) with ``copies`` and their block.
-    Null turns come last, in a block of their own."""
+    """Distinct rows (conv, turn, text, role) with ``copies``, their place ``at``
+    in the conversation and their block of ``BLOCK`` rows. Null turns come last."""
     rows = turns.select(F.col(conv).alias("conv"), F.col(turn).cast("long").alias("turn"), F.col(text).alias("text"),
                         (F.col(role) if role else F.lit(None).cast("string")).alias("role"))
-    return rows.groupBy("conv", "turn", "text", "role").agg(F.count("*").alias("copies")).withColumn(
-        "block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit((1 << 62) // BLOCK)))
+    rows = rows.groupBy("conv", "turn", "text", "role").agg(F.count("*").alias("copies")).withColumn("untimed", F.col("turn").isNull())
+    placed = dense_index(rows, ["conv"], ["untimed", "turn", "text", "role"], index_col="at", count_col=None, long_groups=True)
+    return placed.drop("untimed").withColumn("block", F.floor(F.col("at") / BLOCK))
 
 
 def _sorted(table: pa.Table) -> list[dict]:
     """Rows of a block in turn; rows of one turn number by text."""
-    return sorted(table.to_pylist(), key=lambda r: (r["turn"] is None, r["turn"] or 0, r["text"] or "", r["role"] or ""))
+    return table.sort_by("at").to_pylist()
 
 
 def fit_roles(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text", role: str = "role") -> Model:

@@ -51,6 +51,17 @@ def test_blocks_give_the_path_of_one_viterbi(spark, monkeypatch, seed):
             value(model, scores, chat.trace(model, scores, None, None)), abs=1e-9)
 
 
+def test_blocks_are_bounded_whatever_the_turn_numbers(spark, monkeypatch):
+    """Null ids, null turns and one repeated turn number."""
+    monkeypatch.setattr(chat, "BLOCK", 4)
+    rows = [(None, i % 8, "user", f"a{i}") for i in range(40)] + [(1, None, "user", f"b{i}") for i in range(40)] + [
+        (2, 7, "assistant", f"c{i}") for i in range(40)]
+    units = chat._units(spark.createDataFrame(rows, TURNS), "conv_id", "turn", "text", "role")
+    assert [r["count"] for r in units.groupBy("conv", "block").count().collect()] == [4] * 30
+    got = chat.recover_roles(spark.createDataFrame(rows, TURNS), random_model(3)).collect()
+    assert sorted(r.text for r in got) == sorted(r[3] for r in rows)
+
+
 def test_viterbi_against_all_paths():
     from itertools import product
     model, rng = random_model(9), np.random.default_rng(9)
