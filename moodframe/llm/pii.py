@@ -78,7 +78,7 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
     if "@" in text:
         yield from (("email", a, b) for a, b in _emails(text))
     for m in _IP.finditer(text):
-        if all(len(x.lstrip("0")) < 4 and int(x) <= 255 for x in m[0].split(".")):
+        if all(len(x) < 4 and int(x or 0) <= 255 for x in (part.lstrip("0") for part in m[0].split("."))):
             yield "ip", *m.span()
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:

@@ -41,6 +41,11 @@ def test_base_cases(text):
     assert base(text) == plain(text)
 
 
+def test_an_address_part_of_any_length():
+    text = "0" * 5000 + ".1.2.3"
+    assert [(s["kind"], s["end"]) for s in pii.spans(text) if s["kind"] == "ip"] == [("ip", len(text))]
+
+
 def test_luhn_and_mod97():
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
     assert pii.mod97("DE89370400440532013000") and not pii.mod97("DE89370400440532013001")
