@@ -117,3 +117,32 @@ SELECT t.doc_id, CAST(coalesce(n1, 0) AS BIGINT) AS n_email, CAST(coalesce(n2, 0
   CAST(coalesce(n4, 0) AS BIGINT) AS n_phone, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM t LEFT JOIN j USING (doc_id)
 """
+
+WARC = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, url, strlen(html) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, url,
+  CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)
+"""
+
+_TERMS = """list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), t -> t <> '')"""
+
+SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS doc, doc_id, {_TERMS} AS terms FROM documents),
+s AS (SELECT doc, doc_id, len(terms)::BIGINT AS n FROM d),
+t AS (SELECT count(*) FILTER (n > 0) AS docs, sum(n)::BIGINT AS length FROM s),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+p AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, t GROUP BY term),
+scored AS (SELECT item_id, doc_id, doc,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // length))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN s USING (doc), t GROUP BY ALL),
+ranked AS (SELECT item_id, doc_id, score,
+    row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, doc)::INT AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodframe.llm import fingerprints as fp
-from moodframe.llm import chat, html, lines, mixing, neardup, oracles, packing, pii, quality, substrings
+from moodframe.llm import chat, html, lines, mixing, neardup, oracles, packing, pii, quality, runs, search, substrings, warc
 from moodframe.llm.common import stored, table
 from moodframe.llm.neighbours import with_next
+from moodframe.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -161,3 +162,21 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_substrings", oracles.SUBSTRINGS)
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
+@query("op11_runs")
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(runs.find_runs(table(spark, sf_dir, "documents"), planted=True))
+
+
+@query("op12_warc", oracles.WARC)
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    return warc.read_archive(spark, path).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+@query("op13_search", oracles.SEARCH)
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
