@@ -128,8 +128,8 @@ SELECT page_id, payload_bytes, payload_digest, url,
 FROM d LEFT JOIN f USING (payload_digest)
 """
 
-_TERMS = """list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-  '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), t -> t <> '')"""
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
 
 SEARCH = f"""
 WITH d AS (SELECT row_number() OVER () AS doc, doc_id, {_TERMS} AS terms FROM documents),
