@@ -8,8 +8,9 @@ have similar signatures. Documents are dealt into ranges of signatures and
 gathered in cells of at most ``DOCS`` documents. In a cell the posting list of
 each term, in order of signatures, is cut into blocks of ``BLOCK`` similar
 documents. A block's summary is the coordinatewise maximum of its documents'
-impacts over all terms, each rounded up to one of 255 steps and stored with the
-block. Cells are rows of a table.
+impacts over all terms that an item asks for beside the list's term, each
+rounded up to one of 255 steps and stored with the block. Cells are rows of a
+table, at most ``FILE`` of them in a file.
 
 *Search.* A task goes through its cells with the items and holds the k best
 documents of each item so far; their k-th score is the item's floor.
@@ -23,8 +24,9 @@ documents of each item so far; their k-th score is the item's floor.
 3. The documents of a block taken are scored exactly, in whole numbers.
 
 The k best of each task and item meet in a ranked window. Items are searched for
-in groups of ``ITEMS``, the only thing that a task is sent besides its cells; a
-cell's size is bounded by its documents and by documents times terms.
+in groups of ``ITEMS``, each with cells of its own terms; a group is the only
+thing that a task is sent besides its rows. A cell's size is bounded by its
+documents and by documents times terms.
 """
 
 from __future__ import annotations
@@ -38,11 +40,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodframe.llm.common import small, stored
+from moodframe.session import scratch_path
 
-K, BLOCK, BITS = 20, 64, 24
+K, BLOCK, BITS = 20, 256, 24
 #: Documents of a cell, and its documents times its terms (bytes while it is built).
 DOCS, CELL = 2_048, 1 << 24
-#: Items that are searched for in one pass over the index.
+#: Cells of a file, so that a reader holds a few at a time.
+FILE = 8
+#: Items that are searched for in one pass.
 ITEMS = 1_000
 #: What lies between terms: the ASCII characters but digits and letters.
 SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -109,20 +114,36 @@ def impacts(docs: DataFrame, vocabulary: DataFrame, id_col: str, text_col: str)
 
 #: A cell: its documents, their postings by document (offsets, terms as places
 #: in ``vocabulary``, impacts), the blocks (term, offsets, documents) and their
-#: summaries (offsets, terms, steps; step s bounds impacts up to low * exp(width * (s - 1))).
-_CELL = {"docs": "array<long>", "vocabulary": "array<long>", "begins": "array<int>", "terms": "array<int>", "impacts": "array<long>",
-         "block_terms": "array<int>", "block_begins": "array<int>", "block_docs": "array<int>",
-         "summary_begins": "array<int>", "summary_terms": "array<int>", "summary_steps": "binary", "low": "double", "width": "double"}
+#: summaries (offsets, terms, steps; step s bounds impacts up to
+#: scale[0] * exp(scale[1] * (s - 1))). Each is a column of packed numbers.
+_CELL = {"docs": np.int64, "vocabulary": np.int64, "begins": np.int32, "terms": np.int32, "impacts": np.int64,
+         "block_terms": np.int32, "block_begins": np.int32, "block_docs": np.int32,
+         "summary_begins": np.int64, "summary_terms": np.int32, "summary_steps": np.uint8, "scale": np.float64}
 
 
-def _cell(docs: np.ndarray, sizes: np.ndarray, terms: np.ndarray, impact: np.ndarray) -> Iterator[tuple[int, dict]]:
+class _Beside:
+    """The terms that some item asks for together with a term."""
+
+    def __init__(self, asked: list[np.ndarray]):
+        self.asked = asked
+        self.items: dict[int, list[int]] = {}
+        for i, terms in enumerate(asked):
+            for t in terms.tolist():
+                self.items.setdefault(t, []).append(i)
+        self.every = np.unique(np.concatenate(asked)) if asked else np.zeros(0, dtype=np.int64)
+
+    def __getitem__(self, term: int) -> np.ndarray:
+        return np.unique(np.concatenate([self.asked[i] for i in self.items[term]]))
+
+
+def _cell(docs: np.ndarray, sizes: np.ndarray, terms: np.ndarray, impact: np.ndarray, beside: _Beside) -> Iterator[tuple[int, dict]]:
     """(documents, cell) for documents in order of signatures; several cells where
     one would be too large."""
     vocabulary, local = np.unique(terms, return_inverse=True)
     if len(docs) * len(vocabulary) > CELL and len(docs) > 1:
         half, at = len(docs) // 2, int(sizes[:len(docs) // 2].sum())
-        yield from _cell(docs[:half], sizes[:half], terms[:at], impact[:at])
-        yield from _cell(docs[half:], sizes[half:], terms[at:], impact[at:])
+        yield from _cell(docs[:half], sizes[:half], terms[:at], impact[:at], beside)
+        yield from _cell(docs[half:], sizes[half:], terms[at:], impact[at:], beside)
         return
     low, high = float(impact.min()), float(impact.max())
     width = max(np.log(high / low) / 254, 1e-9)
@@ -131,57 +152,70 @@ def _cell(docs: np.ndarray, sizes: np.ndarray, terms: np.ndarray, impact: np.nda
     dense = np.zeros((len(docs), len(vocabulary)), dtype=np.uint8)
     dense[row, local] = steps
     by_term = np.argsort(local, kind="stable")  # keeps the order of signatures
-    list_begins = np.searchsorted(local[by_term], np.arange(len(vocabulary)))
-    place = np.arange(len(by_term)) - list_begins[local[by_term]]
-    block_begins = np.flatnonzero(place % BLOCK == 0)
+    list_begins = np.searchsorted(local[by_term], np.arange(len(vocabulary) + 1))
     block_docs = row[by_term]
-    summary_terms, summary_steps = [], []
-    for members in np.split(block_docs, block_begins[1:]):
-        most = dense[members].max(axis=0)
-        summary_terms.append(np.flatnonzero(most))
-        summary_steps.append(most[summary_terms[-1]])
+    block_terms, block_begins, summary_sizes, summary_terms, summary_steps = [], [], [], [], []
+    for t in range(len(vocabulary)):
+        wanted = np.searchsorted(vocabulary, np.intersect1d(beside[int(vocabulary[t])], vocabulary, assume_unique=True))
+        for begin in range(list_begins[t], list_begins[t + 1], BLOCK):
+            most = dense[np.ix_(block_docs[begin:min(begin + BLOCK, list_begins[t + 1])], wanted)].max(axis=0)
+            has = np.flatnonzero(most)
+            block_terms.append(t)
+            block_begins.append(begin)
+            summary_sizes.append(len(has))
+            summary_terms.append(wanted[has])
+            summary_steps.append(most[has])
     yield len(docs), {
         "docs": docs, "vocabulary": vocabulary, "begins": np.r_[0, np.cumsum(sizes)], "terms": local, "impacts": impact,
-        "block_terms": local[by_term][block_begins], "block_begins": np.r_[block_begins, len(block_docs)], "block_docs": block_docs,
-        "summary_begins": np.r_[0, np.cumsum([len(x) for x in summary_terms])], "summary_terms": np.concatenate(summary_terms),
-        "summary_steps": np.concatenate(summary_steps).tobytes(), "low": low, "width": width}
+        "block_terms": block_terms, "block_begins": [*block_begins, len(block_docs)], "block_docs": block_docs,
+        "summary_begins": np.r_[0, np.cumsum(summary_sizes)], "summary_terms": np.concatenate(summary_terms),
+        "summary_steps": np.concatenate(summary_steps), "scale": [low, width]}
+
 
+def _packed(cell: dict) -> list[pa.Array]:
+    return [pa.array([np.asarray(cell[c], dtype=kind).tobytes()], pa.binary()) for c, kind in _CELL.items()]
 
-def build_index(docs: DataFrame, vocabulary: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The index of all documents that hold a word of ``vocabulary``: rows of
-    cells (``_CELL``) with the documents' ids."""
+
+def sorted_vectors(docs: DataFrame, vocabulary: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The documents' impacts with signatures."""
     vectors = impacts(docs, vocabulary, id_col, text_col)
     schema = T.StructType([*vectors.schema.fields, T.StructField("signature", T.LongType())])
-    vectors = stored(vectors.mapInArrow(_signatures, schema), "vectors")
+    return stored(vectors.mapInArrow(_signatures, schema), "vectors")
+
+
+def build_index(vectors: DataFrame, asked: list[np.ndarray]) -> DataFrame:
+    """The index of all documents for a group of items, given by their terms:
+    rows of cells (``_CELL``) with the documents' ids."""
+    beside = _Beside(asked)
     # copies have one signature: the document's number deals them to several ranges
     dealt = vectors.repartitionByRange("signature", "doc").sortWithinPartitions("signature", "doc")
-    kind = docs.schema[id_col].dataType.simpleString()
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), DOCS):
                 b = batch.slice(at, DOCS)
-                vector = b.column("vector")
-                flat = vector.flatten()
-                done = 0
-                for n, cell in _cell(b.column("doc").to_numpy(), np.diff(vector.offsets.to_numpy()),
-                                     flat.field("term").to_numpy(), flat.field("impact").to_numpy()):
-                    ids = b.column("id").slice(done, n)
+                row, term, impact = _flat(b.column("vector"), "term", "impact")
+                used = np.isin(term, beside.every)
+                sizes = np.bincount(row[used], minlength=len(b))
+                b, done = b.take(pa.array(np.flatnonzero(sizes))), 0
+                if not len(b):
+                    continue
+                for n, cell in _cell(b.column("doc").to_numpy(), sizes[sizes > 0], term[used], impact[used], beside):
+                    ids = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), b.column("id").slice(done, n))
                     done += n
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ids), *(_one(cell[c], k) for c, k in _CELL.items())],
-                        names=["ids", *_CELL])
+                    yield pa.RecordBatch.from_arrays([ids, *_packed(cell)], names=["ids", *_CELL])
 
-    columns = ", ".join(f"{c} {k}" for c, k in _CELL.items())
-    return stored(dealt.mapInArrow(gathered, f"ids array<{kind}>, {columns}"), "index")
+    kind = vectors.schema["id"].dataType.simpleString()
+    path = scratch_path(vectors.sparkSession, "index")
+    cells = dealt.mapInArrow(gathered, f"ids array<{kind}>, " + ", ".join(f"{c} binary" for c in _CELL))
+    cells.write.option("maxRecordsPerFile", FILE).parquet(path)
+    return vectors.sparkSession.read.schema(cells.schema).parquet(path)
 
 
-def _one(value, kind: str) -> pa.Array:
-    """A column of one row."""
-    if kind.startswith("array"):
-        flat = pa.array(value, pa.int64() if "long" in kind else pa.int32())
-        return pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)
-    return pa.array([value], pa.binary() if kind == "binary" else pa.float64())
+def _flat(column: pa.ListArray, *fields: str) -> tuple[np.ndarray, ...]:
+    """The row of each element of a list column, and fields of the elements."""
+    flat = column.flatten()
+    return np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy())), *(flat.field(f).to_numpy() for f in fields)
 
 
 class _Cell:
@@ -190,14 +224,12 @@ class _Cell:
     def __init__(self, b: pa.RecordBatch, i: int):
         self.ids = b.column("ids")[i].values
         for c, kind in _CELL.items():
-            value = b.column(c)[i]
-            setattr(self, c, value.values.to_numpy() if kind.startswith("array") else value.as_py())
+            setattr(self, c, np.frombuffer(b.column(c)[i].as_buffer(), dtype=kind))
+        low, width = self.scale
         # the bound of a step, with room for the rounding of floating-point numbers; step 0: the term does not occur
-        self.bound = np.r_[0.0, self.low * np.exp(self.width * np.arange(255)) * (1 + 1e-6)]
-        steps = np.frombuffer(self.summary_steps, dtype=np.uint8)
+        self.bound = np.r_[0.0, low * np.exp(width * np.arange(255)) * (1 + 1e-6)]
         block = np.repeat(np.arange(len(self.block_terms), dtype=np.int64), np.diff(self.summary_begins))
         self.held = block * len(self.vocabulary) + self.summary_terms  # ascending
-        self.steps = steps
         self.first_block = np.searchsorted(self.block_terms, np.arange(len(self.vocabulary) + 1))
         most = np.zeros(len(self.vocabulary), dtype=np.int64)
         np.maximum.at(most, self.terms, self.impacts)
@@ -207,11 +239,11 @@ class _Cell:
         """For each block the inner product of its summary and the item."""
         wanted = blocks[:, None] * len(self.vocabulary) + terms
         at = np.minimum(np.searchsorted(self.held, wanted), len(self.held) - 1)
-        return np.where(self.held[at] == wanted, self.bound[self.steps[at]], 0.0) @ times.astype(np.float64)
+        return np.where(self.held[at] == wanted, self.bound[self.summary_steps[at]], 0.0) @ times.astype(np.float64)
 
     def scores(self, rows: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Exact scores of documents, from the item's weight on every term."""
-        sizes = self.begins[rows + 1] - self.begins[rows]
+        sizes = (self.begins[rows + 1] - self.begins[rows]).astype(np.int64)
         ends = np.cumsum(sizes)
         at = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes) + np.repeat(self.begins[rows], sizes)
         return np.add.reduceat(self.impacts[at] * weight[self.terms[at]], ends - sizes)
@@ -262,15 +294,15 @@ def search(items: DataFrame, docs: DataFrame, k: int = K, item_col: str = "item_
     Other columns are not read. Empty tables give an empty result.
     """
     wanted, vocabulary = query_terms(items, item_col, query_col)
-    cells = build_index(docs, vocabulary, id_col, text_col)
+    vectors = sorted_vectors(docs, vocabulary, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
-    # items are numbered in the order of their ids by the rows of a table, ITEMS of them at a time
     queries = stored(wanted.groupBy("item").agg(F.sort_array(F.collect_list(F.struct("term", "times"))).alias("query")).withColumn(
         "group", F.floor(F.monotonically_increasing_id() / ITEMS)).withColumn("number", F.monotonically_increasing_id()), "queries")
     found = None
     for (group,) in queries.select("group").distinct().orderBy("group").collect():
         asked = [(r.number, np.array([x.term for x in r.query], dtype=np.int64), np.array([x.times for x in r.query], dtype=np.int64))
                  for r in queries.filter(F.col("group") == group).select("number", "query").toLocalIterator()]
+        cells = build_index(vectors, [terms for _, terms, _ in asked])
 
         def run(batches: Iterator[pa.RecordBatch], asked=asked) -> Iterator[pa.RecordBatch]:
             best: list[list] = [[] for _ in asked]
@@ -289,8 +321,8 @@ def search(items: DataFrame, docs: DataFrame, k: int = K, item_col: str = "item_
         part = cells.mapInArrow(run, f"number long, doc long, id {kind}, score long")
         found = part if found is None else found.unionByName(part)
     if found is None:
-        found = cells.sparkSession.createDataFrame([], f"number long, doc long, id {kind}, score long")
+        found = vectors.sparkSession.createDataFrame([], f"number long, doc long, id {kind}, score long")
     by = Window.partitionBy("number").orderBy(F.desc("score"), F.col("id").asc_nulls_last(), "doc")
     best = found.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k)
-    return best.join(F.broadcast(queries.select("number", "item")) if queries.count() <= 100_000 else queries.select("number", "item"),
-                     "number").select(F.col("item").alias(item_col), "rank", F.col("id").alias(id_col), "score")
+    return best.join(small(queries.select("number", "item"), "items"), "number").select(
+        F.col("item").alias(item_col), "rank", F.col("id").alias(id_col), "score")
