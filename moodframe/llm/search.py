@@ -297,11 +297,12 @@ def search(items: DataFrame, docs: DataFrame, k: int = K, item_col: str = "item_
     vectors = sorted_vectors(docs, vocabulary, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     queries = stored(wanted.groupBy("item").agg(F.sort_array(F.collect_list(F.struct("term", "times"))).alias("query")).withColumn(
-        "group", F.floor(F.monotonically_increasing_id() / ITEMS)).withColumn("number", F.monotonically_increasing_id()), "queries")
-    found = None
-    for (group,) in queries.select("group").distinct().orderBy("group").collect():
+        "number", F.monotonically_increasing_id()), "queries")
+    passes, found = -(-queries.count() // ITEMS), None
+    for k_th in range(passes):  # about ITEMS items each, by a hash
+        mine = queries.filter(F.pmod(F.xxhash64("number"), F.lit(passes)) == k_th).select("number", "query")
         asked = [(r.number, np.array([x.term for x in r.query], dtype=np.int64), np.array([x.times for x in r.query], dtype=np.int64))
-                 for r in queries.filter(F.col("group") == group).select("number", "query").toLocalIterator()]
+                 for r in mine.toLocalIterator()]
         cells = build_index(vectors, [terms for _, terms, _ in asked])
 
         def run(batches: Iterator[pa.RecordBatch], asked=asked) -> Iterator[pa.RecordBatch]:
