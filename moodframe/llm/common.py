@@ -30,5 +30,12 @@ def small(df: DataFrame, name: str, limit: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as it takes to clash with no column."""
+    while name.lower() in [c.lower() for c in df.columns]:
+        name += "_"
+    return name
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

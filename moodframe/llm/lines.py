@@ -100,16 +100,17 @@ def later_copies(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             .filter("begin <= end").select("doc", F.explode(F.sequence("begin", "end")).alias("pos")))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                counts: tuple[str, str] = ("lines", "lines_removed")) -> DataFrame:
     """``docs`` with the later copies of repeated runs of lines deleted from the
-    text, plus ``lines`` (before) and ``lines_removed``.
+    text, plus two columns named by ``counts``: lines before, lines removed.
 
     Lines end at ``\\n``. The first copy is the one with the lowest id (null ids
     count as the lowest; the ids must be orderable), then the lowest line. Rows with the
     same id and text are one document and share its result. Null and empty texts
     stay as they are; a text all of whose lines go is empty. Other columns are
-    kept, unless they are called ``lines`` or ``lines_removed``. An empty table
-    gives an empty result.
+    kept, unless they are called like ``counts``: choose other names to keep
+    those. An empty table gives an empty result.
     """
     doc = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
     lines = docs.select(doc.alias("doc"), F.posexplode_outer(F.transform(
@@ -123,7 +124,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.col(f"row.`{text_col}`")
     left = F.filter(split_lines(text), lambda x, i: ~F.array_contains(F.col("gone"), i))
     cleaned = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(left, "\n"))
-    kept = [c for c in docs.columns if c not in ("lines", "lines_removed")]
+    kept = [c for c in docs.columns if c.lower() not in [n.lower() for n in counts]]
     return joined.select(*(cleaned.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in kept),
-                         F.size(split_lines(text)).cast("long").alias("lines"),
-                         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("lines_removed"))
+                         F.size(split_lines(text)).cast("long").alias(counts[0]),
+                         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias(counts[1]))

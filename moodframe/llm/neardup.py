@@ -44,9 +44,9 @@ WORDS, THRESHOLD = 5, 0.8
 TABLES, RETAINED = 24, 4
 #: Further sketches by which a bucket is ordered.
 NEAR = 6
-#: Texts whose k-mers are counted for the order of the prefixes, and k-mers that
-#: are told apart by their counts. Any order finds all pairs, these save work.
-COUNTED, COMMON = 20_000, 500_000
+#: Texts whose k-mers are counted for the order of the prefixes, and counters that
+#: their k-mers share by a hash. Any order finds all pairs, counts save work.
+COUNTED, COUNTERS = 5_000, 1 << 19
 _FULL = np.uint64(2 ** 64 - 1)
 
 
@@ -148,14 +148,14 @@ def _kmers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(batch), 500):
             b = batch.slice(at, 500)
             kmers, counts = labelled_kmers(b.column("text").to_pylist())
-            parts = np.split((kmers >> np.uint64(32)).astype("<u4"), np.cumsum(counts)[:-1])
+            parts = np.split(kmers.astype("<u8"), np.cumsum(counts)[:-1])
             yield pa.RecordBatch.from_arrays(
                 [b.column("node"), pa.array([p.tobytes() for p in parts], pa.binary())], names=["node", "kmers"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        found = [similarity(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"))
+        found = [similarity(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"))
                  for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)]
         keep = pa.array([s > 0 for s in found])
         yield pa.RecordBatch.from_arrays(
@@ -206,7 +206,7 @@ def similar_texts(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, D
         found = stored(_verified(new, kmers), "links")
         if found.isEmpty():
             break
-        done, links = done.unionByName(new), links.unionByName(found)
+        done, links = stored(done.unionByName(new), "pairs"), stored(links.unionByName(found), "links")
         classes = stored(_merged(classes, found), "classes")
         open_, round_ = open_.select(*bucket, "node", "rank"), round_ + 1
     if open_.isEmpty():
@@ -236,16 +236,31 @@ def _between_components(members: DataFrame, bucket: list[str], round_: int) -> D
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's counters, those that are not 0."""
+    total = np.zeros(COUNTERS, dtype=np.int64)
     for b in batches:
         for x in b.column("kmers").to_pylist():
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, "<u4").astype(np.int64))], names=["kmer"])
+            total += np.bincount((np.frombuffer(x, "<u8") % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["counter", "n"])
 
 
-def prefixes(x: np.ndarray, common: np.ndarray, times: np.ndarray, threshold: float = THRESHOLD) -> tuple[np.ndarray, int]:
-    """The first k-mers of a text in the order of (times, k-mer), as many as it
+def _counters(sets: DataFrame, nodes: int) -> np.ndarray:
+    """How often the k-mers of a sample of the texts fall on each counter: one
+    array of fixed size, whatever the corpus."""
+    share = int(min(1.0, COUNTED / max(nodes, 1)) * 1_000_000)
+    sample = sets.filter(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < share).select("kmers")
+    found = sample.mapInArrow(_counted, "counter long, n long").groupBy("counter").agg(F.sum("n").cast("int").alias("n")).select(
+        F.col("counter").cast("int").alias("counter"), "n").toArrow()
+    table = np.zeros(COUNTERS, dtype=np.int32)
+    table[found.column("counter").to_numpy()] = found.column("n").to_numpy()
+    return table
+
+
+def prefixes(x: np.ndarray, times: np.ndarray, threshold: float = THRESHOLD) -> tuple[np.ndarray, int]:
+    """The first k-mers of a text in the order of (count, k-mer), as many as it
     needs as the longer text of a pair, and how many it needs as the shorter."""
-    at = np.minimum(np.searchsorted(common, x), max(len(common) - 1, 0))
-    seen = np.where(common[at] == x, times[at], 0) if len(common) else np.zeros(len(x), dtype=np.int64)
+    seen = times[(x % np.uint64(len(times))).astype(np.int64)]
     longer = len(x) - int(np.ceil(threshold * len(x) - 1e-9)) + 1
     shorter = len(x) - int(np.ceil(2 * threshold / (1 + threshold) * len(x) - 1e-9)) + 1
     return x[np.lexsort((x, seen))[:longer]], shorter
@@ -256,11 +271,7 @@ def _prefix_pairs(members: DataFrame, kmers: DataFrame) -> DataFrame:
     k-mers that their prefixes share."""
     nodes = stored(members.select("node", "component").distinct(), "nodes")
     sets = kmers.join(nodes, "node")
-    share = int(min(1.0, COUNTED / max(nodes.count(), 1)) * 1_000_000)
-    counts = sets.filter(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < share).select("kmers").mapInArrow(_counted, "kmer long").groupBy(
-        "kmer").agg(F.count("*").alias("n")).filter("n > 1").orderBy(F.desc("n"), "kmer").limit(COMMON).toPandas()
-    counts = counts.sort_values("kmer")
-    common, times = counts["kmer"].to_numpy(dtype=np.uint32), counts["n"].to_numpy(dtype=np.int64)
+    times = _counters(sets, nodes.count())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,8 +279,8 @@ def _prefix_pairs(members: DataFrame, kmers: DataFrame) -> DataFrame:
                 b = batch.slice(at, 500)
                 size, kept, first, short = [], [], [], []
                 for raw in b.column("kmers").to_pylist():
-                    x = np.frombuffer(raw, "<u4")
-                    head, shorter = prefixes(x, common, times)
+                    x = np.frombuffer(raw, "<u8")
+                    head, shorter = prefixes(x, times)
                     size.append(len(x))
                     kept.append(len(head))
                     first.append(head)
@@ -277,7 +288,7 @@ def _prefix_pairs(members: DataFrame, kmers: DataFrame) -> DataFrame:
                 row = pa.array(np.repeat(np.arange(len(b)), kept))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("node").take(row), b.column("component").take(row), pa.array(np.repeat(size, kept), pa.int32()),
-                     pa.array(np.concatenate([np.arange(k) for k in kept]), pa.int32()), pa.array(np.concatenate(first).astype(np.int64)),
+                     pa.array(np.concatenate([np.arange(k) for k in kept]), pa.int32()), pa.array(np.concatenate(first).view(np.int64)),
                      pa.array(np.concatenate(short))], names=["node", "component", "size", "pos", "kmer", "short"])
 
     rows = sets.select("node", "component", "kmers").mapInArrow(

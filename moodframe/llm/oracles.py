@@ -25,7 +25,7 @@ edges AS (
 kept AS (SELECT e.doc_id, string_agg(substr(n.h, 2 * e.b + 1, 2 * (e.e - e.b)), '' ORDER BY e.b) AS h
   FROM edges e JOIN n USING (doc_id) GROUP BY e.doc_id)
 SELECT n.doc_id, n.n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
-  sha256(unhex(kept.h)) AS kept_sha256
+  sha256(unhex(kept.h)) AS kept_sha256, n.n - CAST(coalesce(removed, 0) AS BIGINT) AS n_kept, coalesce(removed, 0) > 0 AS repeated
 FROM n LEFT JOIN per USING (doc_id) JOIN kept USING (doc_id)
 """
 

@@ -155,16 +155,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     At most ``max_labelled`` labelled ids (the lowest by a hash of the id) are
     used; that bound holds whatever the corpus size. A document with several
     labels counts as bad if one of them is 0; null ids, null labels and labels
-    without a document are left out. Documents that the hard rules fail take no
-    part. Without a good labelled document the model has no forest.
+    without a document are left out. Of several documents with one id, the one
+    with the lowest statistics counts, so that a labelled id is one row. Documents
+    that the hard rules fail take no part. Without a good labelled document the
+    model has no forest.
     """
+    kind = docs.schema[id_col].dataType.simpleString()
     chosen = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"))
               .dropna().groupBy("id").agg(F.min("label").alias("label"))
               .orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(max_labelled))
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
             .join(F.broadcast(chosen), "id")  # bounded by max_labelled
-            .select("label", "text").mapInArrow(_labelled, "label int, failed boolean, x array<double>")
-            .filter("not failed").limit(2 * max_labelled).collect())
+            .select("id", "label", "text").mapInArrow(_labelled, f"id {kind}, label int, failed boolean, x array<double>")
+            .filter("not failed").groupBy("id").agg(F.min("label").alias("label"), F.min("x").alias("x")).select("label", "x").collect())
     good = np.array([r.x for r in rows if r.label > 0])
     if not len(good):
         return QualityModel()
@@ -184,8 +187,8 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [text_counts(t) for t in b.column("text").to_pylist()]
         failed = base_failed(np.array([c for c, _ in found]).reshape(-1, 5))
         yield pa.RecordBatch.from_arrays(
-            [b.column("label").cast(pa.int32()), pa.array(failed), pa.array([x for _, x in found], pa.list_(pa.float64()))],
-            names=["label", "failed", "x"])
+            [b.column("id"), b.column("label").cast(pa.int32()), pa.array(failed), pa.array([x for _, x in found], pa.list_(pa.float64()))],
+            names=["id", "label", "failed", "x"])
 
 
 def judge_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

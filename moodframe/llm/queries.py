@@ -161,7 +161,8 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_substrings", oracles.SUBSTRINGS)
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+    return found.withColumns({"n_kept": F.col("n_bytes") - F.col("n_removed"), "repeated": F.col("n_removed") > 0})
 
 
 @query("op11_runs")

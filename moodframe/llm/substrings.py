@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 
 from moodframe.llm.common import parallelism, stored
 
-LENGTH, GRAM, HOT = 400, 32, 10_000
-#: Strings whose windows a task holds at a time, unless one gram has more.
-HELD = 2_000
+LENGTH, GRAM, HOT = 400, 32, 300
+#: Strings whose windows a task holds at a time, and strings that are gathered in a task.
+HELD, GATHERED = 2_000, 20_000
 #: Bytes that are hashed at a time; positions within take 24 bits of a sort key.
 CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -199,7 +199,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
         marked &= (table.column("copies").to_numpy() == 1)[row]  # the others are spans already
         return runs(table, row[marked], place[marked])
 
-    parts = parallelism(texts.sparkSession) * 4
+    # a string has at most 3 * length bytes and a gram at most ``hot`` strings, so a part is bounded
+    parts = max(parallelism(texts.sparkSession) * 4, -(-cut.count() // GATHERED))
     spans = f"doc {kind}, begin long, end long"
     small = cut.filter(F.col("names") <= hot).withColumn("part", F.pmod("gram", F.lit(parts))).groupBy("part").applyInArrow(compare, spans)
 

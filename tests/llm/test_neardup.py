@@ -78,25 +78,41 @@ def test_pairs_among_texts_that_share_most_of_their_words(spark):
 @pytest.mark.parametrize("common", [0, 50])
 def test_similar_texts_share_a_kmer_of_their_prefixes(common):
     rng = np.random.default_rng(4)
-    hot, times = np.arange(common, dtype=np.uint32), np.arange(common, dtype=np.int64) + 2
+    times = np.zeros(64, dtype=np.int32)  # counters that several k-mers share
+    times[:common] = np.arange(common) + 2
     for _ in range(300):
-        x = rng.permutation(200)[:rng.integers(1, 120)].astype(np.uint32)
-        y = np.r_[np.delete(x, rng.integers(0, len(x), rng.integers(0, 13))), rng.integers(1000, 2000, rng.integers(0, 12))].astype(np.uint32)
+        x = rng.permutation(200)[:rng.integers(1, 120)].astype(np.uint64)
+        y = np.r_[np.delete(x, rng.integers(0, len(x), rng.integers(0, 13))), rng.integers(1000, 2000, rng.integers(0, 12))].astype(np.uint64)
         y = np.unique(y)
         x, y = sorted((x, y), key=len)
         if len(np.intersect1d(x, y)) >= 0.8 * len(np.union1d(x, y)):
-            (first, shorter), (other, _) = neardup.prefixes(x, hot, times), neardup.prefixes(y, hot, times)
+            (first, shorter), (other, _) = neardup.prefixes(x, times), neardup.prefixes(y, times)
             assert set(first[:shorter].tolist()) & set(other.tolist())
 
 
 def test_similarity_is_the_aligned_share():
-    x = np.arange(100, dtype=np.uint32)
+    x = np.arange(100, dtype=np.uint64)
     assert neardup.similarity(x, x) == 1
     assert neardup.similarity(x, np.delete(x, [5, 50])) == pytest.approx(0.98)
     assert neardup.similarity(x, np.r_[x[50:], x[:50]]) == 0  # the same k-mers in another order
     assert neardup.similarity(x, x + 50) == 0 and neardup.similarity(x[:0], x[:0]) == 0
 
 
+def test_counters_hold_the_sample(spark):
+    sets = spark.createDataFrame([(bytes([i]), np.array([5, 7, 5 + neardup.COUNTERS], dtype="<u8").tobytes()) for i in range(9)],
+                                 "node binary, kmers binary")
+    table = neardup._counters(sets, 9)
+    assert (table[5], table[7], table.sum()) == (18, 9, 27) and len(table) == neardup.COUNTERS
+
+
+def test_the_same_kmers_in_another_order_are_no_duplicates(spark):
+    """All labelled k-mers are shared, but not their order."""
+    parts = [" ".join(f"p{k}w{i}" for i in range(40)) for k in range(6)]
+    a, b = " sep sep sep sep sep ".join(parts), " sep sep sep sep sep ".join(parts[::-1])
+    docs = spark.createDataFrame([(1, a, None, None, None), (2, b, None, None, None), (3, a + " end", None, None, None)], DOCS)
+    assert {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 1}
+
+
 def test_labels_tell_repeats_apart():
     flat, counts = neardup.labelled_kmers(["a " * 9, "a b", "", None, "a b c d e"])
     assert counts.tolist() == [5, 1, 0, 0, 1] and len(set(flat.tolist())) == 7

@@ -72,6 +72,16 @@ def test_awkward_and_empty_input(spark, name):
     assert STAGES[name](spark, empty(spark), SF).count() == 0
 
 
+def test_columns_named_like_helpers_keep_their_values(spark):
+    """The line stage counts lines; a table's own columns of those names stay."""
+    extra = "doc_id long, text string, lang string, source string, n_chars int, lines int, lines_removed int, LINES_ string"
+    text = prose(5, 120)
+    docs = spark.createDataFrame([(1, text, "en", "a", len(text), 77, 5, "x"), (2, text + "\nown words", "en", "a", 9, 88, None, None)], extra)
+    out = STAGES["line dedup"](spark, docs, SF)
+    assert out.dtypes == docs.dtypes
+    assert sorted((r.doc_id, r.lines, r.lines_removed, r.LINES_) for r in out.collect()) == [(1, 77, 5, "x"), (2, 88, None, None)]
+
+
 def test_clean_documents_come_through(spark, docs):
     """Distinct prose passes the three filtering stages unchanged."""
     clean = spark.createDataFrame([(1000 + i, prose(1000 + i, 300), "en", "a", 1) for i in range(20)], docs.select("doc_id", "text", "lang", "source", "n_chars").schema)

@@ -61,3 +61,14 @@ def test_held_out_labels(spark):
     rows = quality.judge_quality(docs, model).join(labels.filter("doc_id % 2 = 1"), "doc_id").filter("not base_failed").collect()
     good, bad = [r.kept for r in rows if r.quality], [r.kept for r in rows if not r.quality]
     assert np.mean(good) > 0.99 and np.mean(bad) < 0.1
+
+
+def test_repeated_ids_are_one_labelled_row(spark, monkeypatch):
+    """Rows of a labelled id beyond the bound change nothing, whatever their order."""
+    words = " ".join(f"word{i}" for i in range(80))
+    rows = [(i, f"{words} own{i} " * (1 + i % 2), None, None, None) for i in range(20)]
+    labels = spark.createDataFrame([(i, int(i % 5 > 0)) for i in range(20)], "doc_id long, quality int")
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    once = quality.fit_quality(spark.createDataFrame(rows, schema), labels, max_labelled=20)
+    many = quality.fit_quality(spark.createDataFrame(rows * 30, schema).repartition(7), labels, max_labelled=20)
+    assert once.threshold == many.threshold
