@@ -4,6 +4,11 @@ of sources and packing, each stage on all rows that the one before kept.
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 return the columns of ``docs``. ``run`` writes each stage's rows as Parquet to
 the shared folder and reads them back for the next.
+
+Null and empty texts fail the quality rules; null ids are documents like others,
+and so are repeated rows until near-duplicate removal leaves one of them. Other
+columns are carried along whatever their names. An empty table passes through
+all stages as an empty one.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodframe.llm import lines, mixing, neardup, packing, quality
-from moodframe.llm.common import stored, table
+from moodframe.llm.common import stored, table, unused
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +29,9 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated runs of lines go, and documents that lose all
     their text. ``n_chars`` follows the text."""
-    done = lines.dedup_lines(docs).filter(~((F.col("lines_removed") > 0) & F.col("text").rlike(r"\A[\x20\x09-\x0D]*\z")))
-    size = F.when(F.col("lines_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    total, gone = unused(docs, "lines"), unused(docs, "lines_removed")
+    done = lines.dedup_lines(docs, counts=(total, gone)).filter(~((F.col(gone) > 0) & F.col("text").rlike(r"\A[\x20\x09-\x0D]*\z")))
+    size = F.when(F.col(gone) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return done.withColumn("n_chars", size).select(*docs.columns)
 
 

@@ -282,10 +282,10 @@ def episode_rejects(spark, sf_dir):
 
 @plan("read_indented_predictions", "WITH " + PRED_SQL + """
 SELECT 'model ' || model AS model, l_orderkey, l_linenumber, true_funny, predicted_funny, true_sad, predicted_sad
-FROM p WHERE l_orderkey < 1000
+FROM p
 """)
 def read_indented_predictions(spark, sf_dir):
-    return _indented_predictions(spark, sf_dir).filter("l_orderkey < 1000")  # the rows that the SQL asks for
+    return _indented_predictions(spark, sf_dir)
 
 
 def _indented_predictions(spark, sf_dir):
