@@ -25,7 +25,7 @@ def catalogue(scenes: DataFrame, season: str = "season", episode: str = "episode
     eps = eps.withColumn("scene_ids", F.transform("__s", lambda x: x["id"])).drop("__s") \
              .withColumn("n_scenes", F.size("scene_ids"))
     eps = sequence.dense_index(eps, [season], [episode], index_col="episode_rank", count_col="n_episodes",
-                               base=1)
+                               base=1, long_groups=True)
     seasons = scenes.select(season).distinct()
     seasons = sequence.dense_index(seasons, [], [season], index_col="season_rank", count_col=None, base=1, long_groups=True)
     # one row per season: bounded by the season domain, joined on its key

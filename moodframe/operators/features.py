@@ -63,11 +63,12 @@ def to_double_array(c: Column | str) -> Column:
 
 # J2 --------------------------------------------------------------------------
 def pair_features(df: DataFrame, keys, order, vec_col: str, position: Column | str,
-                  out_col: str = "features") -> DataFrame:
+                  out_col: str = "features", long_groups: bool = False) -> DataFrame:
     """``[prev, cur, cur - prev, position]`` per row; the first row of a group
-    uses a zero vector as its previous encoding."""
+    uses a zero vector as its previous encoding. ``long_groups``: from sorted
+    ranges, for groups that outgrow a task."""
     d = df.withColumn("__v", to_double_array(vec_col))
-    d = sequence.prev_values(d, keys, order, ["__v"], prefix="__p")
+    d = sequence.prev_values(d, keys, order, ["__v"], prefix="__p", long_groups=long_groups)
     zeros = F.transform(F.col("__v"), lambda x: F.lit(0.0))
     prev = F.coalesce(F.col("__p__v"), zeros)
     pos = F.col(position) if isinstance(position, str) else position

@@ -57,9 +57,9 @@ FROM g, unnest(g.feats) WITH ORDINALITY AS u(x, i)
 """)
 def pair_features(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    e = sequence.dense_index(e, ["label"], ["vec_id"], index_col="i", count_col="n")
+    e = sequence.dense_index(e, ["label"], ["vec_id"], index_col="i", count_col="n", long_groups=True)
     e = e.withColumn("position", sequence.scene_position("i", "n"))
-    f = ft.pair_features(e, ["label"], ["vec_id"], "embedding", "position")
+    f = ft.pair_features(e, ["label"], ["vec_id"], "embedding", "position", long_groups=True)
     out = explode_positions(f, "features", ["vec_id"], "dim", "value")
     return out.select("vec_id", F.col("dim").cast("int").alias("dim"), _r("value"))
 

@@ -106,11 +106,11 @@ lb AS (SELECT CAST(doc_id AS VARCHAR) AS scene_id, quality + 1 AS funny, toxic +
 
 def doc_scenes(spark, sf_dir):
     """Documents as scenes of their source: previous text and position by doc
-    id, both from windows over the same rows of a source (one shuffle)."""
+    id, from sorted ranges, as there are few sources and each has many documents."""
     d = table(spark, sf_dir, "documents").select(
         F.col("source").alias("episode_id"), "doc_id", F.col("doc_id").cast("string").alias("scene_id"), "text")
-    d = sequence.dense_index(d, ["episode_id"], ["doc_id"], index_col="scene_idx", count_col="n_scenes")
-    d = sequence.prev_scene_text(d, "episode_id", "doc_id", "text")
+    d = sequence.dense_index(d, ["episode_id"], ["doc_id"], index_col="scene_idx", count_col="n_scenes", long_groups=True)
+    d = sequence.prev_scene_text(d, "episode_id", "doc_id", "text", long_groups=True)
     return d.withColumn("position", sequence.scene_position("scene_idx", "n_scenes"))
 
 

@@ -30,6 +30,6 @@ def plan(key: str, sql: str | None = None):
 def load_all() -> None:
     """Import every plan module so their keys register."""
     from moodframe.plans import (  # noqa: F401
-        catalogue_plans, evaluation_plans, feature_plans, field_plans, io_plans, label_plans,
+        catalogue_plans, evaluation_plans, feature_plans, field_plans, io_plans, label_plans, large_plans,
         scoring_plans, segment_plans, sequence_plans, stats_plans, stream_plans, text_plans,
     )
