@@ -3,7 +3,7 @@ definitions: all windows counted, all pairs compared, all lines listed."""
 
 from __future__ import annotations
 
-from moodframe.llm import lines, neardup, substrings
+from moodframe.llm import lines, neardup, pii, substrings
 
 _L = substrings.LENGTH
 
@@ -84,14 +84,16 @@ SELECT page_id, url, text, length(text) AS n_chars FROM t
 """
 
 
-def _matches(kind: str, place: int, pattern: str, valid: str) -> str:
-    """Matches of a pattern with their places, from the pieces between them."""
+def _matches(kind: str, place: int, pattern: str, valid: str, prior: int, hint: str) -> str:
+    """Matches of a pattern with their places, from the pieces between them, and
+    their scores in percent."""
     return f"""
-SELECT doc_id, {place} AS place, '{kind}' AS kind, m, b, b + length(m) AS e FROM (
-  SELECT doc_id, m, regexp_replace(m, '[^0-9]', '', 'g') AS digits,
+SELECT doc_id, {place} AS place, '{kind}' AS kind, m, b, b + length(m) AS e,
+  {prior} + CASE WHEN regexp_matches(substr(text, greatest(1, b - 47)::BIGINT, least(b, 48)::BIGINT), '(?i){hint}') THEN 20 ELSE 0 END AS score FROM (
+  SELECT doc_id, text, m, regexp_replace(m, '[^0-9]', '', 'g') AS digits,
     sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) + coalesce(sum(length(m)) OVER (
       PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
-  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{pattern}')) AS m, unnest(regexp_split_to_array(text, '{pattern}')) AS piece,
+  FROM (SELECT doc_id, text, unnest(regexp_extract_all(text, '{pattern}')) AS m, unnest(regexp_split_to_array(text, '{pattern}')) AS piece,
           unnest(range(0, 1 + len(regexp_extract_all(text, '{pattern}')))) AS i FROM t)
   ) WHERE m IS NOT NULL AND {valid}"""
 
@@ -102,19 +104,27 @@ _LUHN = """length(digits) BETWEEN 13 AND 19 AND list_sum(list_transform(range(0,
   ELSE substr(digits, length(digits) - k, 1)::INT * 2 END)) % 10 = 0"""
 _BYTES = "len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(try_cast(x AS INT), 256) > 255)) = 0"
 
-#: The four base kinds; the kinds that the method adds need look-behind, and the
-#: generated documents hold none of them.
+_SECRET = (r"(?i:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential)"
+           r"[\"'']?[\x20\t]{0,3}[:=][\x20\t]{0,3}[\"'']?[A-Za-z0-9+/_=-]{16,}")
+_VALUE = r"regexp_extract(m, '[A-Za-z0-9+/_=-]{16,}$')"
+
+#: The four base kinds and assigned secrets; the other kinds that the method adds
+#: need look-behind or more than patterns, and the generated documents hold none of them.
 PII = f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 s AS ({' UNION ALL '.join((
-    _matches('email', 1, r'[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+', 'true'),
-    _matches('ip', 2, r'[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)', _BYTES),
-    _matches('card', 3, r'[0-9](?:[\x20-]?[0-9])+', _LUHN),
-    _matches('phone', 4, r'\+[0-9][\x20().0-9-]+[0-9]', 'length(digits) BETWEEN 9 AND 15')))}),
+    _matches('email', 1, r'[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+', 'true', 80, 'mail|contact|write|@'),
+    _matches('ip', 2, r'[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)', _BYTES, 60, r'\bip\b|address|host|server|login'),
+    _matches('card', 3, r'[0-9](?:[\x20-]?[0-9])+', _LUHN, 80, 'card|visa|master|credit|payment|cvv'),
+    _matches('phone', 4, r'\+[0-9][\x20().0-9-]+[0-9]', 'length(digits) BETWEEN 9 AND 15', 60, r'phone|\btel\b|call|mobile|fax|contact'),
+    _matches('secret', 7, _SECRET, f"len(list_distinct(string_split({_VALUE}, ''))) >= {pii.RANDOM} AND regexp_matches({_VALUE}, '[0-9]')",
+             60, 'api|auth|login|config|env')))}),
 j AS (SELECT doc_id, string_agg(kind || ':' || b::BIGINT || ':' || e::BIGINT, ',' ORDER BY place, b) AS spans,
+  string_agg(kind || ':' || b::BIGINT || ':' || e::BIGINT, ',' ORDER BY place, b) FILTER (place <= 4) AS base,
+  string_agg(score::VARCHAR, ',' ORDER BY place, b) AS scores,
   count_if(place = 1) AS n1, count_if(place = 2) AS n2, count_if(place = 3) AS n3, count_if(place = 4) AS n4 FROM s GROUP BY doc_id)
 SELECT t.doc_id, CAST(coalesce(n1, 0) AS BIGINT) AS n_email, CAST(coalesce(n2, 0) AS BIGINT) AS n_ip, CAST(coalesce(n3, 0) AS BIGINT) AS n_card,
-  CAST(coalesce(n4, 0) AS BIGINT) AS n_phone, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+  CAST(coalesce(n4, 0) AS BIGINT) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
 FROM t LEFT JOIN j USING (doc_id)
 """
 

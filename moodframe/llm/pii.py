@@ -3,8 +3,15 @@ close by move the score.
 
 Kinds with a fixed meaning (``BASE``): email, ip, card, phone. Their spans are
 always reported, the score only says how sure the finding is. The kinds of
-``ADDED`` (IBAN, national number) are reported from a score of ``min_score``:
-an IBAN must pass mod-97, a national number needs a context word.
+``ADDED`` are reported from a score of ``min_score``:
+
+* iban must pass mod-97, ssn (a national number) needs a context word;
+* secret is a value assigned to a name like token or password; it must look
+  random: ``RANDOM`` different characters, a digit among them;
+* key has the prefix and length of a well-known kind of access key;
+* private_key is a block between its BEGIN and END lines (or the text's end);
+* url_login is the part of a URL that holds a user's name and password;
+* ipv6 must be a valid address with at least three groups.
 
 All work is per row, and every scan is linear in the text: possessive patterns
 and look-behinds keep long runs of digits or name characters from being scanned
@@ -13,6 +20,7 @@ again from each of their characters.
 
 from __future__ import annotations
 
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -21,8 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BASE = ("email", "ip", "card", "phone")
-ADDED = ("iban", "ssn")
+ADDED = ("iban", "ssn", "secret", "key", "private_key", "url_login", "ipv6")
 KINDS = BASE + ADDED
+#: Different characters that the value of a secret has at least.
+RANDOM = 10
 #: Code points before a span in which context words count.
 CONTEXT = 48
 
@@ -33,16 +43,33 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+# Names of secrets, prefixes and lengths of access keys.
+_SECRET = re.compile(r"(?i:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential)"
+                     r"[\"']?[\x20\t]{0,3}[:=][\x20\t]{0,3}[\"']?[A-Za-z0-9+/_=-]{16,}")
+_VALUE = re.compile(r"[A-Za-z0-9+/_=-]{16,}\Z")
+_KEY = re.compile(r"(?<![A-Za-z0-9_])(?:AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{60,90}|AIza[A-Za-z0-9_-]{35}|"
+                  r"xox[abprs]-[A-Za-z0-9-]{10,80}|[rs]k_live_[A-Za-z0-9]{24,99}|glpat-[A-Za-z0-9_-]{20}|"
+                  r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,})(?![A-Za-z0-9_])")
+_BLOCK = re.compile(r"-----BEGIN (?:[A-Z]+\x20){0,3}PRIVATE KEY(?:\x20BLOCK)?-----")
+_BLOCK_END = re.compile(r"-----END (?:[A-Z]+\x20){0,3}PRIVATE KEY(?:\x20BLOCK)?-----")
+_LOGIN = re.compile(r"(?<=://)[^\s/:@\"'<>]{1,64}:[^\s/@\"'<>]{1,128}@")
+_IPV6 = re.compile(r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![0-9A-Fa-f:.])")
 _HINTS = {
-    "email": re.compile(r"mail|contact|write|@", re.I),
-    "ip": re.compile(r"\bip\b|address|host|server|login", re.I),
-    "card": re.compile(r"card|visa|master|credit|payment|cvv", re.I),
-    "phone": re.compile(r"phone|\btel\b|call|mobile|fax|contact", re.I),
-    "iban": re.compile(r"iban|account|bank|transfer", re.I),
-    "ssn": re.compile(r"\bssn\b|social|security|national", re.I),
+    "email": re.compile(r"mail|contact|write|@", re.I | re.ASCII),
+    "ip": re.compile(r"\bip\b|address|host|server|login", re.I | re.ASCII),
+    "card": re.compile(r"card|visa|master|credit|payment|cvv", re.I | re.ASCII),
+    "phone": re.compile(r"phone|\btel\b|call|mobile|fax|contact", re.I | re.ASCII),
+    "iban": re.compile(r"iban|account|bank|transfer", re.I | re.ASCII),
+    "ssn": re.compile(r"\bssn\b|social|security|national", re.I | re.ASCII),
+    "secret": re.compile(r"api|auth|login|config|env", re.I | re.ASCII),
+    "key": re.compile(r"key|token|aws|secret", re.I | re.ASCII),
+    "private_key": re.compile(r"key|ssh|pem", re.I | re.ASCII),
+    "url_login": re.compile(r"https?|ftp|mongodb|postgres|mysql|redis|amqp", re.I | re.ASCII),
+    "ipv6": re.compile(r"ipv6|address|host|server", re.I | re.ASCII),
 }
 #: Score of a bare match, after its checksum where the kind has one.
-_PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "ssn": 0.3}
+_PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "ssn": 0.3,
+          "secret": 0.6, "key": 0.8, "private_key": 0.8, "url_login": 0.6, "ipv6": 0.5}
 _DROP = str.maketrans("", "", " -().+")
 
 
@@ -95,6 +122,36 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
             yield "iban", *m.span()
     for m in _SSN.finditer(text):
         yield "ssn", *m.span()
+    yield from _secrets(text)
+
+
+def _secrets(text: str) -> Iterator[tuple[str, int, int]]:
+    for m in _SECRET.finditer(text):
+        value = _VALUE.search(m[0])[0]
+        if len(set(value)) >= RANDOM and any("0" <= c <= "9" for c in value):
+            yield "secret", *m.span()
+    for m in _KEY.finditer(text):
+        yield "key", *m.span()
+    at = 0
+    while "-----BEGIN" in text and (m := _BLOCK.search(text, at)):
+        end = _BLOCK_END.search(text, m.end())
+        at = end.end() if end else len(text)
+        yield "private_key", m.start(), at
+    if "://" in text:
+        for m in _LOGIN.finditer(text):
+            yield "url_login", *m.span()
+    if ":" in text:
+        for m in _IPV6.finditer(text):
+            if sum(map(bool, m[0].split(":"))) >= 3 and _is_ipv6(m[0]):
+                yield "ipv6", *m.span()
+
+
+def _is_ipv6(text: str) -> bool:
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    return True
 
 
 def spans(text: str | None, min_score: float = 0.5) -> list[dict]:

@@ -48,7 +48,9 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id",
         *(count(k).alias(f"n_{k}") for k in pii.BASE),
-        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"),
+        # sure to what percent, in the order of the spans
+        F.concat_ws(",", F.transform("pii", lambda s: F.round(100 * s["score"]).cast("int").cast("string"))).alias("scores"))
 
 
 @query("op7_quality")
