@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 #: Labelled rows that the forest may see, and rows and trees of the forest.
 MAX_LABELLED = 20_000
 TREES, TREE_ROWS, DEPTH = 100, 256, 12
+#: Texts that a worker judges at a time.
+SLICE = 500
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = b"#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -182,8 +184,15 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     return QualityModel(forest, float(limit + 0.75 * (above[0] - limit) if len(above) else np.nextafter(limit, 2)))
 
 
-def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``SLICE`` rows: what a worker holds as Python objects."""
     for b in batches:
+        for at in range(0, len(b), SLICE):
+            yield b.slice(at, SLICE)
+
+
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in _slices(batches):
         found = [text_counts(t) for t in b.column("text").to_pylist()]
         failed = base_failed(np.array([c for c, _ in found]).reshape(-1, 5))
         yield pa.RecordBatch.from_arrays(
@@ -202,7 +211,7 @@ def judge_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
     forest, threshold = model.forest, model.threshold
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             found = [text_counts(t) for t in b.column("text").to_pylist()]
             counts = np.array([c for c, _ in found], dtype=np.int64).reshape(-1, 5)
             failed = base_failed(counts)
@@ -233,7 +242,7 @@ def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text") -> D
     forest, threshold = model.forest, model.threshold
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             found = [text_counts(t) for t in b.column("text").to_pylist()]
             kept = ~base_failed(np.array([c for c, _ in found], dtype=np.int64).reshape(-1, 5))
             if forest is not None and len(found):
