@@ -18,6 +18,9 @@ COLUMNS = {
     "op8_mixing": {"doc_id", "size", "source_size", "target", "taken"},
     "op9_lines": {"doc_id", "text", "lines", "lines_removed"},
     "op10_html": {"page_id", "url", "text", "n_chars"},
+    "op11_runs": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
+    "op12_warc": {"page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"},
+    "op13_search": {"item_id", "rank", "doc_id", "score"},
 }
 
 
@@ -34,6 +37,6 @@ def test_contract_columns(spark, name):
     kinds = dict(df.dtypes)
     for c in COLUMNS[name] & {"start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "n_bytes", "n_removed", "n_spans",
                               "n_email", "n_ip", "n_card", "n_phone", "n_chars", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                              "n_repeat_words", "size", "source_size", "taken"}:
+                              "n_repeat_words", "size", "source_size", "taken", "n_runs", "period", "exponent_milli", "payload_bytes", "refers_to", "score"}:
         assert kinds[c] == "bigint", c
     assert set(queries.QUERIES) == set(COLUMNS)
