@@ -83,12 +83,19 @@ def explode_scenes(df: DataFrame, keys: Sequence[str], scenes_col: str = "scenes
     )
 
 
+def _dealt(df: DataFrame, num_partitions: int | None) -> DataFrame:
+    return df.repartition(num_partitions) if num_partitions else df
+
+
 def segment_documents(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text_col: str = "text",
                       max_words: int = tx.MAX_WORDS, phrases: Sequence[str] = tx.IGNORE_PHRASES,
-                      punct: Sequence[str] = tx.PUNCT_LINES, unicode: bool = True) -> DataFrame:
-    """C3-C9 on plain text: clean lines, pack scenes, one row per scene."""
+                      punct: Sequence[str] = tx.PUNCT_LINES, unicode: bool = True,
+                      num_partitions: int | None = None) -> DataFrame:
+    """C3-C9 on plain text: clean lines, pack scenes, one row per scene.
+    ``num_partitions``: deal the rows first, for files with fewer row groups
+    than there are cores; without it the work stays where the scan put it."""
     ws = tx.WS if unicode else tx.WS_ASCII
-    d = tx.with_text_lines(docs.select(*keys, text_col), text_col, "__lines", phrases, punct, unicode)
+    d = tx.with_text_lines(_dealt(docs.select(*keys, text_col), num_partitions), text_col, "__lines", phrases, punct, unicode)
     return explode_scenes(with_scenes(d, "__lines", "scenes", max_words, ws).select(*keys, "scenes"), list(keys), "scenes", ws)
 
 
@@ -241,10 +248,11 @@ def page_lines(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
                root: tuple[str, str | None] = CONTENT_ROOT,
                selectors: Sequence[str] = IRRELEVANT_SELECTORS,
                phrases: Sequence[str] = tx.IGNORE_PHRASES, punct: Sequence[str] = tx.PUNCT_LINES,
-               unicode: bool = True) -> DataFrame:
+               unicode: bool = True, num_partitions: int | None = None) -> DataFrame:
     """``(id, lines array<string>, error)``: element texts split into
-    lines, cleaned and consecutively de-duplicated over the whole page."""
-    t = page_element_texts(pages, id_col, html_col, root, selectors)
+    lines, cleaned and consecutively de-duplicated over the whole page.
+    ``num_partitions`` as in ``segment_documents``."""
+    t = page_element_texts(_dealt(pages.select(id_col, html_col), num_partitions), id_col, html_col, root, selectors)
     brk = tx.LINE_BREAKS if unicode else tx.LINE_BREAKS_ASCII
     raw = t.withColumn("__raw", F.flatten(F.transform("texts", lambda s: F.split(s, brk))))
     out = tx.with_text_lines(raw, "__raw", "lines", phrases, punct, unicode, split=False)
@@ -253,11 +261,11 @@ def page_lines(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
 
 def segment_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                   root: tuple[str, str | None] = CONTENT_ROOT, max_words: int = tx.MAX_WORDS,
-                  unicode: bool = True) -> tuple[DataFrame, DataFrame]:
+                  unicode: bool = True, num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(scenes, rejected pages). A page without html, with broken markup
     or without the content root is rejected with its ``error``."""
     ws = tx.WS if unicode else tx.WS_ASCII
-    pl = page_lines(pages, id_col, html_col, root, unicode=unicode)
+    pl = page_lines(pages, id_col, html_col, root, unicode=unicode, num_partitions=num_partitions)
     packed = with_scenes(pl.filter(F.col("error").isNull()), "lines", "scenes", max_words, ws)
     return (explode_scenes(packed.select(id_col, "scenes"), [id_col], "scenes", ws),
             pl.filter(F.col("error").isNotNull()).select(id_col, "error"))

@@ -5,11 +5,12 @@
   ``stddev_pop`` restricted to rows where both values are known (pairwise
   NULL deletion), divided with ``try_divide`` so a constant column gives NULL
   instead of failing under ANSI mode.
-* OLS: one aggregate of counts, means and ``covar_pop`` for every distinct
-  column set of the requested fits (per-fit listwise NULL deletion through
-  masks). ``covar_pop`` merges centred partial moments, so the Gram matrix is
-  free of the cancellation of raw sums and combines map-side. Only the k x k
-  moment rows (k <= 7 here) reach the driver, where the small solves run.
+* OLS: one aggregate of counts, means and ``covar_pop`` per group and NULL
+  pattern; every fit merges the patterns in which its columns are all present
+  (listwise NULL deletion), so fits share the moments of a pair. ``covar_pop``
+  merges centred partial moments, so the Gram matrix is free of the
+  cancellation of raw sums and combines map-side. Only the moment rows reach
+  the driver, where the small solves run.
   The rank is checked on the correlation scale; a deficient fit gets the
   solution of least norm (pseudo-inverse) and is flagged ``singular``.
 * Diagnostics: the coefficients are joined to the rows as one row per group.
@@ -33,6 +34,8 @@ from moodframe.operators.sequence import _listify, squared_steps
 
 #: Groups whose moments may be collected; a larger group domain is an error.
 MAX_GROUPS = 10_000
+#: Rows of moments (groups x NULL patterns) that may be collected.
+MAX_MOMENT_ROWS = 5 * MAX_GROUPS
 #: Share of its variance that a column must add to those before it to count.
 RANK_TOLERANCE = 1e-10
 
@@ -74,22 +77,24 @@ class FitSpec:
         return self.name or f"{self.target} ~ {' + '.join(self.features)}"
 
 
-def _moment_aggs(sets: list[tuple[str, ...]]) -> list[Column]:
-    aggs = []
-    for s_i, cols in enumerate(sets):
-        mask = F.lit(True)
-        for c in cols:
-            mask = mask & F.col(c).isNotNull()
-        aggs.append(F.count_if(mask).alias(f"s{s_i}_n"))
-        for j, c in enumerate(cols):
-            aggs.append(F.avg(F.when(mask, F.col(c).cast("double"))).alias(f"s{s_i}_m{j}"))
-        for j, a in enumerate(cols):
-            for k, b in enumerate(cols):
-                if k < j:
-                    continue
-                aggs.append(F.covar_pop(F.when(mask, F.col(a).cast("double")),
-                                        F.when(mask, F.col(b).cast("double"))).alias(f"s{s_i}_c{j}_{k}"))
-    return aggs
+def _moment_aggs(cols: list[str], pairs: list[tuple[str, str]]) -> list[Column]:
+    x = {c: F.col(c).cast("double") for c in cols}
+    return ([F.count(F.lit(1)).alias("__n")] + [F.avg(x[c]).alias(f"__m{i}") for i, c in enumerate(cols)]
+            + [F.covar_pop(x[a], x[b]).alias(f"__c{i}") for i, (a, b) in enumerate(pairs)])
+
+
+def _merged(parts: list[tuple[int, np.ndarray, np.ndarray]], m: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows, means and population covariances of disjoint parts together."""
+    n, means, products = 0, np.full(m, np.nan), np.full((m, m), np.nan)
+    for k, mean, cov in parts:
+        if n == 0:
+            n, means, products = k, mean, cov * k
+            continue
+        delta = mean - means
+        products = products + cov * k + np.outer(delta, delta) * (n * k / (n + k))
+        means = means + delta * (k / (n + k))
+        n += k
+    return n, means, products / n if n else products
 
 
 def _inverse(n: int, mx: np.ndarray, sxx: np.ndarray) -> tuple[np.ndarray, int]:
@@ -148,15 +153,43 @@ def _solve(n: int, means: np.ndarray, cov: np.ndarray, p: int) -> dict:
                   "aic": -2 * ll + 2 * rank, "bic": -2 * ll + math.log(n) * rank, "ssr": ssr, "cond_no": cond}
 
 
-def ols_moments(df: DataFrame, specs: Sequence[FitSpec], keys=None) -> tuple[list, list[tuple[str, ...]]]:
-    """The single aggregate behind every fit: rows per group, which are
-    collected. More than ``MAX_GROUPS`` groups are an error."""
+def ols_moments(df: DataFrame, specs: Sequence[FitSpec], keys=None) -> list[tuple[tuple, dict]]:
+    """``(key values, {columns of a fit: (rows, means, covariances)})`` per group.
+
+    One aggregate serves every fit: it groups by the keys and by which columns
+    are NULL, so a column's mean and a pair's covariance are taken once and a
+    fit merges the patterns in which all its columns are present. Its rows are
+    collected; more than ``MAX_GROUPS`` groups or ``MAX_MOMENT_ROWS`` rows are
+    an error."""
     keys = _listify(keys)
     sets = sorted({(s.target, *s.features) for s in specs})
-    rows = df.groupBy(*keys).agg(*_moment_aggs(sets)).limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
+    cols = sorted({c for s in sets for c in s})
+    at = {c: i for i, c in enumerate(cols)}
+    pairs = sorted({(a, b) for s in sets for a in s for b in s if at[a] <= at[b]})
+    present = F.concat(*(F.when(F.col(c).isNull(), "0").otherwise("1") for c in cols)).alias("__present")
+    rows = (df.select(*keys, *(c for c in cols if c not in keys), present).groupBy(*keys, "__present")
+              .agg(*_moment_aggs(cols, pairs)).limit(MAX_MOMENT_ROWS + 1).collect())
+    groups: dict[tuple, list] = {}
+    for r in rows:
+        groups.setdefault(tuple(r[k] for k in keys), []).append(r)
+    if not keys and not rows:
+        groups[()] = []
+    if len(groups) > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} groups of {keys}")
-    return rows, sets
+    if len(rows) > MAX_MOMENT_ROWS:
+        raise ValueError(f"more than {MAX_MOMENT_ROWS} groups of {keys} and NULL patterns of {cols}")
+    where = {p: f"__c{i}" for i, p in enumerate(pairs)}
+    out = []
+    for kv, patterns in groups.items():
+        patterns.sort(key=lambda r: r["__present"])
+        moments = {}
+        for s in sets:
+            parts = [(int(r["__n"]), np.array([r[f"__m{at[c]}"] for c in s], dtype=float),
+                      np.array([[r[where[min(a, b), max(a, b)]] for b in s] for a in s], dtype=float))
+                     for r in patterns if all(r["__present"][at[c]] == "1" for c in s)]
+            moments[s] = _merged(parts, len(s))
+        out.append((kv, moments))
+    return out
 
 
 def ols_fit(df: DataFrame, specs: Sequence[FitSpec], keys=None, spark: SparkSession | None = None,
@@ -170,24 +203,11 @@ def ols_fit(df: DataFrame, specs: Sequence[FitSpec], keys=None, spark: SparkSess
     coefficients are those of least norm and its degrees of freedom follow the rank."""
     spark = spark or df.sparkSession
     keys = _listify(keys)
-    rows, sets = ols_moments(df, specs, keys)
     coef_rows, fit_rows = [], []
-    for r in rows:
-        kv = [r[k] for k in keys]
+    for kv, moments in ols_moments(df, specs, keys):
         for spec in specs:
-            cols = (spec.target, *spec.features)
-            s_i = sets.index(cols)
-            n = int(r[f"s{s_i}_n"])
-            m = len(cols)
-            means = np.array([r[f"s{s_i}_m{j}"] if r[f"s{s_i}_m{j}"] is not None else float("nan")
-                              for j in range(m)], dtype=float)
-            cov = np.full((m, m), float("nan"))
-            for j in range(m):
-                for k in range(j, m):
-                    v = r[f"s{s_i}_c{j}_{k}"]
-                    cov[j, k] = cov[k, j] = float("nan") if v is None else v
-            res = _solve(n, means, cov, len(spec.features)) if n > 0 else \
-                _solve(0, means, cov, len(spec.features))
+            n, means, cov = moments[(spec.target, *spec.features)]
+            res = _solve(n, means, cov, len(spec.features))
             dfr = res["df_resid"]
             tq = dist.t_ppf(0.975, dfr) if with_tests and dfr > 0 else float("nan")
             for term, c, se in zip(("Intercept", *spec.features), res["coef"], res["se"]):

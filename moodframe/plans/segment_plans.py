@@ -92,8 +92,8 @@ flat AS (
 )"""
 
 
-def _scenes(spark, sf_dir):
-    return sg.segment_documents(_docs(spark, sf_dir), ["doc_id"], "text", unicode=False)
+def _scenes(spark, sf_dir, num_partitions=None):
+    return sg.segment_documents(_docs(spark, sf_dir), ["doc_id"], "text", unicode=False, num_partitions=num_partitions)
 
 
 @plan("segment_scenes", "WITH " + SCENES_SQL + """
@@ -103,8 +103,8 @@ SELECT doc_id, scene_idx, n_scenes,
        text
 FROM flat
 """)
-def segment_scenes(spark, sf_dir):
-    return _scenes(spark, sf_dir).select("doc_id", "scene_idx", "n_scenes", "n_words", "text")
+def segment_scenes(spark, sf_dir, num_partitions=None):
+    return _scenes(spark, sf_dir, num_partitions).select("doc_id", "scene_idx", "n_scenes", "n_words", "text")
 
 
 @plan("scene_position", "WITH " + SCENES_SQL + """
@@ -121,16 +121,16 @@ ARTICLE_ROOT = ("article", None)
 
 
 @plan("page_lines")
-def page_lines(spark, sf_dir):
+def page_lines(spark, sf_dir, num_partitions=None):
     pages = table(spark, sf_dir, "pages")
-    pl = sg.page_lines(pages, "page_id", "html", root=ARTICLE_ROOT)
+    pl = sg.page_lines(pages, "page_id", "html", root=ARTICLE_ROOT, num_partitions=num_partitions)
     return tx.explode_positions(pl, "lines", ["page_id"], "line_no", "line")
 
 
 @plan("segment_pages")
-def segment_pages(spark, sf_dir):
+def segment_pages(spark, sf_dir, num_partitions=None):
     pages = table(spark, sf_dir, "pages")
-    scenes, _ = sg.segment_pages(pages, "page_id", "html", root=ARTICLE_ROOT)  # page_rejects has the others
+    scenes, _ = sg.segment_pages(pages, "page_id", "html", root=ARTICLE_ROOT, num_partitions=num_partitions)  # page_rejects has the others
     return scenes.select(
         "page_id", "scene_idx", "n_scenes", "position", "n_words", "text")
 

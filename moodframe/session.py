@@ -24,7 +24,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # small local inputs still give every core a split
+        # files of several row groups are read by every core; a row group is never split
         "spark.sql.files.minPartitionNum": os.environ.get("MOODFRAME_MIN_SPLITS", "8"),
     }
     wanted = {k: v for k, v in wanted.items() if not conf.contains(k)}
