@@ -6,7 +6,11 @@ that has it. A micro-batch is validated (I2), reads and merges the buckets its
 posts fall into (I1: union + newest per key by partial aggregation) and writes
 them as a new version, the highest plus one. A version's name carries the
 stream's id and epoch: a replayed epoch finds its version and does nothing, and
-a new checkpoint on an old table simply goes on. Rejected posts are appended to
+a new checkpoint on an old table simply goes on. After ``compact_every``
+versions a batch writes all buckets (a full version, named ``f...``), and the
+versions before it are no longer looked into, so neither a batch nor a reader
+slows down with the table's history. A version without ``_SUCCESS`` is what a
+failed batch left: nothing reads it, and the replay writes over it. Rejected posts are appended to
 ``_rejects`` with the reason. No table format with in-place MERGE is assumed.
 """
 
@@ -23,7 +27,9 @@ from moodframe.operators.scoring import path_exists
 
 #: Buckets of a label table; fixed when the table is made.
 BUCKETS = 64
-_VERSION = re.compile(r"v(\d+)-(.+)-(\d+)$")
+#: Versions after which a batch writes all buckets anew.
+COMPACT_EVERY = 20
+_VERSION = re.compile(r"([vf])(\d+)-(.+)-(\d+)$")
 
 
 def _listed(spark: SparkSession, path: str) -> list[str]:
@@ -33,20 +39,37 @@ def _listed(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
 
 
+def _complete(spark: SparkSession, table_path: str, folder: str) -> bool:
+    return path_exists(spark, f"{table_path}/{folder}/_SUCCESS")
+
+
 def _versions(spark: SparkSession, table_path: str) -> list[tuple[int, str, str, int]]:
-    """(number, folder, stream, epoch) of the complete versions, in order."""
-    found = [(int(m[1]), n, m[2], int(m[3])) for n in _listed(spark, table_path) if (m := _VERSION.match(n))]
-    return sorted(v for v in found if path_exists(spark, f"{table_path}/{v[1]}/_SUCCESS"))
+    """(number, folder, stream, epoch) of the complete versions in order, from
+    the last full one on."""
+    names = [(int(m[2]), n, m[3], int(m[4])) for n in _listed(spark, table_path) if (m := _VERSION.match(n))]
+    found = []
+    for v in sorted(names, reverse=True):
+        if _complete(spark, table_path, v[1]):
+            found.append(v)
+            if v[1].startswith("f"):
+                break
+    return found[::-1]
+
+
+def _written(spark: SparkSession, table_path: str, stream: str, epoch: int) -> bool:
+    """Whether the epoch of that stream has its version, however old."""
+    return any((m := _VERSION.match(n)) and (m[3], int(m[4])) == (stream, epoch) and _complete(spark, table_path, n)
+               for n in _listed(spark, table_path))
 
 
 def _bucket(key: str):
     return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
-def _current_paths(spark: SparkSession, table_path: str) -> dict[int, str]:
+def _current_paths(spark: SparkSession, table_path: str, versions=None) -> dict[int, str]:
     """Folder of the newest content of each bucket."""
     paths = {}
-    for _, folder, _, _ in _versions(spark, table_path):
+    for _, folder, _, _ in _versions(spark, table_path) if versions is None else versions:
         for b in _listed(spark, f"{table_path}/{folder}"):
             if b.startswith("bucket="):
                 paths[int(b[7:])] = f"{table_path}/{folder}/{b}"
@@ -60,22 +83,25 @@ def read_latest_version(spark: SparkSession, table_path: str) -> DataFrame | Non
 
 def stream_upsert_labels(spark: SparkSession, in_path: str, schema: StructType, table_path: str,
                          checkpoint: str, key: str = "scene_id", time_col: str = "updated_at",
-                         tie=None, fmt: str = "parquet", max_files_per_trigger: int | None = None):
+                         tie=None, fmt: str = "parquet", max_files_per_trigger: int | None = None,
+                         compact_every: int = COMPACT_EVERY):
     def batch(df: DataFrame, epoch_id: int) -> None:
         stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        versions = _versions(spark, table_path)
-        if any((s, e) == (stream, epoch_id) for _, _, s, e in versions):
+        if _written(spark, table_path, stream, epoch_id):
             return
+        versions = _versions(spark, table_path)
         good, bad = validate_labels(df, key, check_unique=False)
         bad.withColumn("stream", F.lit(stream)).withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite").parquet(
             f"{table_path}/_rejects/{stream}-{epoch_id}")
         good = good.withColumn("bucket", _bucket(key))
         touched = {r.bucket for r in good.select("bucket").distinct().collect()}  # at most BUCKETS
-        paths = [p for b, p in _current_paths(spark, table_path).items() if b in touched]
+        full = len(versions) >= compact_every
+        paths = [p for b, p in _current_paths(spark, table_path, versions).items() if full or b in touched]
         current = spark.read.parquet(*paths) if paths else spark.createDataFrame([], good.drop("bucket").schema)
         merged = upsert_labels(current, good.drop("bucket"), key, time_col, tie).withColumn("bucket", _bucket(key))
         number = versions[-1][0] + 1 if versions else 0
-        merged.repartition("bucket").write.partitionBy("bucket").parquet(f"{table_path}/v{number:010d}-{stream}-{epoch_id}")
+        name = f"{'f' if full else 'v'}{number:010d}-{stream}-{epoch_id}"
+        merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{table_path}/{name}")
 
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:

@@ -70,3 +70,28 @@ def test_a_batch_rewrites_only_touched_buckets(spark):
     assert len(_listed(spark, f"{base}/table/{last}")) == 1
     now = read_latest_version(spark, f"{base}/table")
     assert now.count() == 500 and now.filter("funny = 5").count() == 1
+
+
+def test_versions_are_compacted_and_leftovers_are_not_read(spark):
+    base = scratch_path(spark, "test-k2-compact")
+    schema = "scene_id string, funny int, sad int, updated_at timestamp_ntz, event_id long"
+    want = {}
+    for part in range(8):  # two scenes a batch, one of them new
+        rows = [("s0", part % 5 + 1, 1, None, part), (f"s{part}", 1 + part % 5, 2, None, 100 + part)]
+        want |= {k: (f, s) for k, f, s, _, e in rows if k != "s0"}
+        spark.createDataFrame(rows, schema).write.parquet(f"{base}/in{part}/part=0")
+        if part == 5:  # what a batch that died has left
+            spark.createDataFrame([("s1", 5, 5, None, 999)], schema).write.parquet(f"{base}/table/v0000000005-dead-0/bucket=0")
+            spark.createDataFrame([], schema).write.parquet(f"{base}/table/v0000000099-dead-1")
+            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+            fs = hadoop.Path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            fs.delete(hadoop.Path(f"{base}/table/v0000000099-dead-1/_SUCCESS"), False)
+        for _ in range(2):  # the second start replays nothing
+            stream_upsert_labels(spark, f"{base}/in{part}/*", spark.createDataFrame([], schema).schema, f"{base}/table",
+                                 f"{base}/ckpt{part}", tie="event_id", compact_every=3).awaitTermination()
+        assert len(_versions(spark, f"{base}/table")) <= 3
+    got = {r["scene_id"]: (r["funny"], r["sad"]) for r in read_latest_version(spark, f"{base}/table").collect()}
+    want["s0"] = (1, 2)  # event 100 is the newest of s0
+    assert got == want
+    names = [n for n in _listed(spark, f"{base}/table") if n.startswith("f")]
+    assert sorted(int(n[1:11]) for n in names) == [3, 6]
