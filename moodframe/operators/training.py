@@ -24,7 +24,7 @@ from moodframe.session import scratch_path
 
 #: Ratings run from 1 to this.
 CLASSES = 5
-#: Weights of a task's share of the sums; beside the gradient, the losses and row counts of the phases.
+#: Rows that the steps learn from, and rows that choose the epoch.
 PHASES = ("train", "validate")
 
 
