@@ -10,12 +10,23 @@ branch is the mean over all features in it. Branches of hosts with
 ``MIN_PAGES`` pages or more whose importance is below ``LEAST`` show the same
 content page after page and are removed from every page of the host.
 
+The tree also chooses the main branch of a host: the deepest container whose
+branch holds more than ``SHARE`` of the host's important content, but none below
+a container with important text or headings of its own. A text counts
+by its share of its page times the importance of its content, so that a menu
+that all pages repeat weighs nothing; what its tag, role or class calls noise
+counts ``PRIOR`` of that. Only the main branch of a page is kept. Articles that a
+page marks as such are kept whole if they overlap the main branch, and not at
+all if the main branch lies elsewhere. A page without its host's main branch,
+and one of a host with none, is judged by its marked article, else its body.
+
 Presentation counts as well: elements whose tag, role or class says menu,
 header, footer, sidebar, notice, advert, form or reader comment are removed
-whatever their content, and if a page marks its article, only that is kept.
-Nothing inside an article is removed as unimportant, so that a paragraph which
-many pages share is not lost, and no branch with most of a page's text. Equal
-pages of a host count as one, or copies would look like a template.
+inside the main branch, whatever their content. Nothing inside a marked article
+is removed as unimportant, so that a paragraph which many pages share is not
+lost, and no branch with most of a page's text. Equal pages of a host count as
+one, or copies would look like a template. Elements deeper than ``DEPTH`` count
+for their ancestor there.
 
 Pages are parsed twice: for the tree (only hashes leave the tasks) and for the
 text. The page rows meet their host's branches in a join on host and a salt, so
@@ -30,12 +41,13 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodframe.llm.common import small
 
 MIN_PAGES, LEAST, SALTS = 8, 0.3, 64
+SHARE, PRIOR, DEPTH = 0.75, 0.25, 64
 
 # Fixed values of HTML.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -59,6 +71,8 @@ _NOISE_WORDS = frozenset("""nav navbar navigation menu menubar breadcrumb breadc
     form search toolbar skip""".split())
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
 _ROOTS = ("article", "main")
+#: Elements that can be a main branch.
+_CONTAINERS = ("article", "main", "section", "div", "td", "center")
 
 
 class _Node:
@@ -72,7 +86,7 @@ class _Node:
         self.noise = (tag in _SKIP or tag in _NOISE_TAGS or (attrs.get("role") or "").lower() in _NOISE_ROLES
                       or "hidden" in attrs or attrs.get("aria-hidden") == "true"
                       or "display:none" in (attrs.get("style") or "").replace(" ", ""))
-        self.signature = f"{tag}.{' '.join(sorted((attrs.get('class') or '').split()))}"
+        self.signature = f"{tag}.{' '.join(sorted((attrs.get('class') or '').split()))}".replace("/", "_")
         self.parts: list[_Node | str] = []
         self.parent: _Node | None = None
         # characters of text, of text outside of noise, articles and main parts
@@ -161,7 +175,47 @@ def parse(html: str | None) -> _Node:
     return tree.root
 
 
-def _roots(root: _Node) -> list[_Node]:
+def _at(root: _Node, steps: list[str]) -> list[_Node]:
+    """The nodes with text whose path of signatures is ``steps``."""
+    level = [root] if steps[0] == root.signature else []
+    for step in steps[1:]:
+        found = []
+        for node in level:
+            todo = [p for p in reversed(node.parts) if isinstance(p, _Node)]
+            while todo:
+                x = todo.pop()
+                if x.tag in _BLOCK:
+                    if x.signature == step:
+                        found.append(x)
+                elif x.tag not in _SKIP:  # inline elements are no step
+                    todo += [p for p in reversed(x.parts) if isinstance(p, _Node)]
+        level = found
+    return [node for node in level if node.size]
+
+
+def _roots(root: _Node, main: str | None = None) -> list[_Node]:
+    """The nodes of the host's main branch, unless articles overlap them: then
+    all marked articles. Without such nodes the marked articles, else the body."""
+    marked, chosen = _marked(root), _at(root, main.split("/")) if main else []
+    if not chosen or not root.holds:
+        return chosen or marked
+    around = set()  # the articles and what lies around them
+    for node in marked:
+        while node is not None and id(node) not in around:
+            around.add(id(node))
+            node = node.parent
+    articles = set(map(id, marked))
+    for node in chosen:
+        if id(node) in around:
+            return marked
+        while node is not None:
+            if id(node) in articles:
+                return marked
+            node = node.parent
+    return chosen
+
+
+def _marked(root: _Node) -> list[_Node]:
     """The articles outside of noise (else the main parts, else articles inside
     of noise that was never closed, else the body)."""
     for tag, anywhere in ((t, a) for a in (False, True) for t in _ROOTS if root.holds):
@@ -177,17 +231,18 @@ def _roots(root: _Node) -> list[_Node]:
     return [root]
 
 
-def blocks(root: _Node, dropped: set[int] | frozenset[int] = frozenset()) -> Iterator[str]:
+def blocks(root: _Node, dropped: set[int] | frozenset[int] = frozenset(), main: str | None = None) -> Iterator[str]:
     """The texts of the article's blocks in page order. ``dropped``: hashes of
-    the paths of unimportant branches."""
-    return (text for kind, _, text in _walk(root, dropped) if kind == "text")
+    the paths of unimportant branches, ``main``: path of the main branch."""
+    return (text for kind, _, text, _ in _walk(root, dropped, main=main) if kind == "text")
 
 
-def _walk(root: _Node, dropped: set[int] | frozenset[int] = frozenset(), everything: bool = False) -> Iterator[tuple[str, list[str], str]]:
-    """(kind, path of signatures, value) in page order. Kind "text": a block's
-    text. With ``everything`` also what is outside the article or noise, and
-    kind "style": the signatures of a node's children."""
-    roots = _roots(root)
+def _walk(root: _Node, dropped: set[int] | frozenset[int] = frozenset(), everything: bool = False,
+          main: str | None = None) -> Iterator[tuple[str, list[str], str, bool]]:
+    """(kind, path of signatures, value, whether in noise) in page order. Kind
+    "text": a block's text. With ``everything`` also what is outside the article
+    or noise, and kind "style": the signatures of a node's children."""
+    roots = _roots(root, main)
     wanted, passed = set(map(id, roots)), set()
     for node in roots:  # what lies around an article is no noise
         while node is not None:
@@ -196,6 +251,7 @@ def _walk(root: _Node, dropped: set[int] | frozenset[int] = frozenset(), everyth
     path: list[str] = []
     text: list[str] = []
     inside = [False]  # whether each open block lies in a wanted node
+    noisy = [False]  # whether it lies in noise
     # a stack instead of recursion, for deeply nested pages
     todo: list[tuple[str, _Node | str]] = [("enter", root)]
     while todo:
@@ -207,21 +263,23 @@ def _walk(root: _Node, dropped: set[int] | frozenset[int] = frozenset(), everyth
             line = " ".join("".join(text).split())
             text = []
             if line and (everything or inside[-1]):
-                yield "text", path, line
+                yield "text", path, line, noisy[-1]
             if what == "leave":
                 path.pop()
                 inside.pop()
+                noisy.pop()
             if what != "enter":
                 continue
             path.append(x.signature)
             article = x is not root and (inside[-1] and bool(root.holds) or id(x) in wanted)
-            if path_hash(path) in dropped and not article and x.clean * 2 <= root.clean and x.tag not in _ROOTS and not x.holds:
+            if dropped and len(path) <= DEPTH and path_hash(path) in dropped and not article and x.clean * 2 <= root.clean and x.tag not in _ROOTS and not x.holds:
                 path.pop()
                 continue
             inside.append(inside[-1] or id(x) in wanted)
+            noisy.append(noisy[-1] or x.noise)
             todo.append(("leave", x))
             if everything:
-                yield "style", path, " ".join(p.signature for p in x.parts if not isinstance(p, str) and p.tag in _BLOCK)
+                yield "style", path, " ".join(p.signature for p in x.parts if not isinstance(p, str) and p.tag in _BLOCK), noisy[-1]
         for p in reversed(x.parts):
             if isinstance(p, str):
                 todo.append(("text", p))
@@ -242,68 +300,96 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def unimportant_branches(pages: DataFrame, min_pages: int = MIN_PAGES, least: float = LEAST) -> DataFrame:
-    """(host, branch): hashed paths of branches whose importance is below
-    ``least``, from rows (host, html). Equal pages of a host are one page."""
+def style_tree(pages: DataFrame, min_pages: int = MIN_PAGES, least: float = LEAST, share: float = SHARE,
+               prior: float = PRIOR) -> DataFrame:
+    """(host, branch, main) of rows (host, html): the paths of branches whose
+    importance is below ``least``, and, with ``main`` true, the path of the
+    host's main branch. Equal pages of a host are one page."""
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            host, path, content, part = [], [], [], []
+            host, path, content, size, part = [], [], [], [], []
             for h, html, w in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), b.column("part").to_pylist(), strict=True):
-                seen = set()
-                for kind, steps, value in _walk(parse(html), everything=True):
-                    p = "/".join(steps)
-                    seen.add((p, xxhash.xxh64_intdigest(kind + value) >> 1))
-                    seen.add((p, -1))  # counts the pages of the node
-                for p, c in seen:
+                seen: dict[tuple[str, int], float] = {}
+                for kind, steps, value, noise in _walk(parse(html), everything=True):
+                    p, c = "/".join(steps[:DEPTH]), xxhash.xxh64_intdigest(kind + value) >> 1
+                    seen[p, c] = seen.get((p, c), 0) + (kind == "text") * len(value) * (prior if noise else 1)
+                    seen[p, -1] = 0  # counts the pages of the node
+                whole = sum(seen.values()) or 1
+                for (p, c), n in seen.items():
                     host.append(h)
                     path.append(p)
                     content.append(c)
+                    size.append(round(1e6 * n / whole))
                     part.append(w)
-            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(content, pa.int64()),
-                                              pa.array(part, pa.float64())], names=["host", "path", "content", "part"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(content, pa.int64()), pa.array(size, pa.int64()),
+                 pa.array(part, pa.float64())], names=["host", "path", "content", "size", "part"])
 
     # each of n equal pages counts 1 / n; the pages themselves stay where they are if few are repeated
     pages = pages.select("host", "html", F.md5(F.coalesce("html", F.lit(""))).alias("page"))
     copies = small(pages.groupBy("host", "page").agg(F.count("*").alias("n")).filter("n > 1"), "copies")
     pages = pages.join(copies, ["host", "page"], "left").select("host", "html", (1 / F.coalesce("n", F.lit(1))).alias("part"))
-    counts = pages.mapInArrow(contents, "host string, path string, content long, part double").groupBy("host", "path", "content").agg(
-        F.round(F.sum("part")).cast("long").alias("c"))
+    counts = pages.mapInArrow(contents, "host string, path string, content long, size long, part double").groupBy(
+        "host", "path", "content").agg(F.round(F.sum("part")).cast("long").alias("c"), F.round(F.sum(F.col("size") * F.col("part"))).alias("size"))
     # contents by the pages that share them: few rows per node, then its entropy once its pages are known
+    real = F.col("content") != -1
     nodes = counts.groupBy("host", "path").agg(
-        F.max(F.when(F.col("content") == -1, F.col("c"))).alias("m"),
-        F.count_if(F.col("content") != -1).alias("n"), F.sum(F.when(F.col("content") != -1, F.log("c"))).alias("logs"))
-    nodes = nodes.filter(f"m >= {min_pages}").withColumn("importance", 1 - F.col("logs") / F.col("n") / F.log("m"))
+        F.max(F.when(~real, F.col("c"))).alias("m"), F.count_if(real).alias("n"), F.sum(F.when(real, F.log("c"))).alias("logs"),
+        F.sum("size").alias("size"), F.sum(F.when(real, F.col("size") * F.log("c"))).alias("shared"))
+    # a node on few pages shows nothing about its contents, so they count in full
+    known = F.col("m") >= min_pages
+    nodes = nodes.select(
+        "host", "path", "m", F.when(known, F.col("n")).alias("n"), F.when(known, F.col("n") - F.col("logs") / F.log("m")).alias("importance"),
+        (F.col("size") - F.when(known, F.col("shared") / F.log("m")).otherwise(0)).alias("mass"))
     steps = F.split("path", "/")
-    # every branch that the node is part of, but for the body itself
-    branches = nodes.filter(F.size(steps) > 1).select("host", "n", "importance", F.explode(F.transform(
-        F.sequence(F.lit(2), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), "/"))).alias("branch"))
-    weighed = branches.groupBy("host", "branch").agg((F.sum(F.col("n") * F.col("importance")) / F.sum("n")).alias("importance"))
-    return weighed.filter(F.col("importance") < least).select("host", "branch")
-
-
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    # every branch that the node is part of
+    branches = nodes.select("*", F.explode(F.transform(F.sequence(F.lit(1), F.size(steps)), lambda k: F.struct(
+        F.array_join(F.slice(steps, 1, k), "/").alias("branch"), k.alias("depth")))).alias("b")).select("*", "b.*")
+    own = (F.size(steps) == F.col("depth")) | (F.size(steps) == F.col("depth") + 1) & F.element_at(steps, -1).rlike(r"^h[1-6]\.")
+    weighed = branches.groupBy("host", "branch", "depth").agg(
+        (F.sum("importance") / F.sum("n")).alias("importance"), F.sum("mass").alias("mass"), F.sum(F.when(own, F.col("mass"))).alias("own"),
+        F.max(F.when(F.col("path") == F.col("branch"), F.col("m"))).alias("m"))
+    # one row per branch; a host's branches with more than half of its content are nested, so one of them is the deepest
+    weighed = weighed.withColumn("all", F.max(F.when(F.col("depth") == 1, F.col("mass"))).over(Window.partitionBy("host")))
+    tag = F.split(F.element_at(F.split("branch", "/"), -1), r"\.")[0]
+    chain = weighed.filter((F.col("mass") > share * F.col("all")) & (F.col("m") >= min_pages) & tag.isin("body", *_CONTAINERS))
+    main = (chain.groupBy("host").agg(
+                F.min(F.when(F.col("own") > 1e-6 * F.col("all"), F.struct("depth", "branch"))).alias("top"),
+                F.max(F.struct("depth", "branch")).alias("deepest")).select("host", F.coalesce("top", "deepest").alias("b"))
+            .filter("b.depth > 1").select("host", "b.branch", F.lit(True).alias("main")))
+    low = weighed.filter((F.col("importance") < least) & (F.col("depth") > 1)).select("host", "branch", F.lit(False).alias("main"))
+    return low.union(main)
+
+
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+            main_col: str | None = None) -> DataFrame:
     """One row per page: id, url and ``text``, the article's blocks joined by
     ``\\n``.
 
     A null or empty html has the empty text; a null url is a host of its own
     name, the empty one. Pages of hosts below ``MIN_PAGES`` are judged by their
-    presentation alone. Repeated rows are pages of their own; other columns are
+    presentation alone. With ``main_col`` that column names the host's main
+    branch, null where there is none. Repeated rows are pages of their own; other columns are
     not read. An empty table gives an empty result.
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                         host_of(F.col(url_col)).alias("host"))
-    low = (unimportant_branches(rows.select("host", "html")).groupBy("host").agg(F.collect_list("branch").alias("branches"))
+    low = (style_tree(rows.select("host", "html")).groupBy("host").agg(
+               F.collect_list(F.when(~F.col("main"), F.col("branch"))).alias("branches"),
+               F.max(F.when(F.col("main"), F.col("branch"))).alias("main"))
            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("url", "id"), F.lit(SALTS)).cast("int"))
-    joined = salted.join(low, ["host", "salt"], "left").select("id", "url", "html", "branches")
+    joined = salted.join(low, ["host", "salt"], "left").select("id", "url", "html", "branches", "main")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = []
-            for html, branches in zip(b.column("html").to_pylist(), b.column("branches").to_pylist(), strict=True):
+            for html, branches, main in zip(*(b.column(c).to_pylist() for c in ("html", "branches", "main")), strict=True):
                 low = {path_hash(x.split("/")) for x in branches or ()}
-                found.append("\n".join(blocks(parse(html), low)))
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), pa.array(found, pa.string())], names=["id", "url", "text"])
+                found.append("\n".join(blocks(parse(html), low, main)))
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), pa.array(found, pa.string()), b.column("main")],
+                                             names=["id", "url", "text", "main"])
 
     kinds = {c: pages.schema[c].dataType.simpleString() for c in (id_col, url_col)}
-    return joined.mapInArrow(texts, f"id {kinds[id_col]}, url {kinds[url_col]}, text string").toDF(id_col, url_col, "text")
+    done = joined.mapInArrow(texts, f"id {kinds[id_col]}, url {kinds[url_col]}, text string, main string")
+    return done.toDF(id_col, url_col, "text", main_col) if main_col else done.drop("main").toDF(id_col, url_col, "text")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import re
 from html import unescape
 
@@ -7,6 +8,7 @@ import pytest
 from helpers import prose
 from moodframe.llm import html as h
 from moodframe.llm import queries
+from pyspark.sql import functions as F
 
 PAGES = "page_id long, url string, html string"
 
@@ -82,6 +84,88 @@ def test_a_head_needs_no_end_tag(page, want):
     assert text(page) == want
 
 
+def neutral(i, mark=None):
+    """A page whose class names say nothing; ``mark``: which part is an article."""
+    menu = "".join(f"<div class='b{k % 2}'>Entry {k}</div>" for k in range(6))
+    a, b = ("<article>", "</article>") if mark == "text" else ("", "")
+    c, d = ("<article>", "</article>") if mark == "side" else ("", "")
+    body = "".join(f"<p>{prose(100 * i + k, 30)}</p>" for k in range(3 + i % 3))
+    return (f"<div class='x1'>{menu}</div><div class='x2'><div class='x3'>{a}{body}{b}</div>"
+            f"<div class='x4'>{c}<p>One offer {i}</p>{d}</div></div><div class='x5'>Made by us, page {i}</div>")
+
+
+def plain_main(pages):
+    """The main branch from all texts of a host's pages, in plain loops."""
+    counts, on, sizes = {}, {}, {}
+    for page in set(pages):
+        texts = [(tuple(steps), value, len(value) * (h.PRIOR if noise else 1))
+                 for kind, steps, value, noise in h._walk(h.parse(page), everything=True) if kind == "text"]
+        steps = {tuple(steps) for _, steps, _, _ in h._walk(h.parse(page), everything=True)}
+        for p in steps:
+            on[p] = on.get(p, 0) + 1
+        for key in {(p, v) for p, v, _ in texts}:
+            counts[key] = counts.get(key, 0) + 1
+        for p, v, n in texts:
+            sizes[p, v] = sizes.get((p, v), 0) + n / sum(x for _, _, x in texts)
+    best, total = ("body.",), 0
+    mass, own_mass = {}, {}
+    for (p, v), size in sizes.items():
+        x = size * (1 - math.log(counts[p, v]) / math.log(on[p]) if on[p] >= h.MIN_PAGES else 1)
+        total += x
+        own_mass[p] = own_mass.get(p, 0) + x
+        for k in range(1, len(p) + 1):
+            mass[p[:k]] = mass.get(p[:k], 0) + x
+    for p, x in sorted(mass.items(), key=lambda kv: len(kv[0])):
+        if x > h.SHARE * total and on.get(p, 0) >= h.MIN_PAGES and p[-1].split(".")[0] in ("body", *h._CONTAINERS):
+            best = p
+            own = (q for q in mass if q == p or q[:-1] == p and re.match(r"h[1-6]\.", q[-1]))
+            if any(own_mass.get(q, 0) > 1e-6 * total for q in own):
+                break
+    return "/".join(best) if len(best) > 1 else None
+
+
+@pytest.mark.parametrize("mark,where", [(None, "/div.x3"), ("text", "/div.x3/article."), ("side", "/div.x3")])
+def test_the_tree_chooses_the_main_branch(spark, mark, where):
+    """With and without marked articles; one that marks an offer is not believed."""
+    rows = [(i, "http://h.example/", neutral(i, mark)) for i in range(20)]
+    rows += [(100 + i, "http://few.example/", neutral(i, mark)) for i in range(h.MIN_PAGES - 1)]
+    got = {r.page_id: r for r in h.extract(spark.createDataFrame(rows, PAGES), main_col="main").collect()}
+    want = {i: "\n".join(" ".join(prose(100 * i + k, 30).split()) for k in range(3 + i % 3)) for i in range(20)}
+    assert {got[i].main for i in range(20)} == {"body./div.x2" + where} == {plain_main([p for i, _, p in rows if i < 100])}
+    assert {i: got[i].text for i in range(20)} == want
+    assert got[100].main is None and (got[100].text == want[0]) == (mark == "text")
+    # presentation alone would have kept more, or the offer
+    assert mark == "text" or all(text(neutral(i, mark)) != want[i] for i in range(20))
+
+
+def test_main_branches_of_the_table(spark):
+    """The tree finds the article of every host with enough distinct pages, its
+    tag unseen."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    unmarked = pages.withColumn("html", F.regexp_replace("html", "<(/?)article>", "<$1div>"))
+    got = {r.page_id: r for r in h.extract(unmarked, main_col="main").collect()}
+    want = {r.page_id: r.text for r in h.extract(pages).collect()}
+    hosts = pages.withColumn("host", h.host_of(F.col("url")))
+    many = {r.page_id for r in hosts.join(hosts.groupBy("host").agg(F.countDistinct("html").alias("n")), "host")
+            .filter(f"n >= {h.MIN_PAGES}").collect()}
+    assert many and {i for i, r in got.items() if r.main} == many
+    assert {got[i].main for i in many} == {"body./div."} and all(got[i].text == want[i] for i in many)
+
+
+def test_a_title_beside_the_text_stays(spark):
+    rows = [(i, "http://h.example/", f"<div class='m'><i>{i}</i></div><div class='a'><h2>Title {i}</h2><div class='b'><p>{prose(i, 90)}</p></div></div>"
+             f"<div class='z'>made on day {i}</div>") for i in range(20)]
+    got = {r.page_id: r for r in h.extract(spark.createDataFrame(rows, PAGES), main_col="main").collect()}
+    assert {r.main for r in got.values()} == {"body./div.a"} == {plain_main([p for _, _, p in rows])}
+    assert got[3].text == "Title 3\n" + " ".join(prose(3, 90).split())
+
+
+def test_deep_pages_in_the_tree(spark):
+    rows = [(i, "http://h.example/", f"<div>{i}" * 3_000) for i in range(9)]
+    got = {r.page_id: r.text for r in h.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[4] == "\n".join("4" * 3_000)
+
+
 def test_query_against_the_article_by_patterns(spark):
     """The generated pages are simple enough for patterns."""
     sf = "/root/testdata/sf0.01"
