@@ -302,9 +302,9 @@ def host_of(url: Column) -> Column:
 
 def style_tree(pages: DataFrame, min_pages: int = MIN_PAGES, least: float = LEAST, share: float = SHARE,
                prior: float = PRIOR) -> DataFrame:
-    """(host, branch, main) of rows (host, html): the paths of branches whose
-    importance is below ``least``, and, with ``main`` true, the path of the
-    host's main branch. Equal pages of a host are one page."""
+    """(host, branches, main) of rows (host, html): the paths of branches whose
+    importance is below ``least``, and that of the host's main branch or null.
+    Equal pages of a host are one page."""
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             host, path, content, size, part = [], [], [], [], []
@@ -352,13 +352,14 @@ def style_tree(pages: DataFrame, min_pages: int = MIN_PAGES, least: float = LEAS
     # one row per branch; a host's branches with more than half of its content are nested, so one of them is the deepest
     weighed = weighed.withColumn("all", F.max(F.when(F.col("depth") == 1, F.col("mass"))).over(Window.partitionBy("host")))
     tag = F.split(F.element_at(F.split("branch", "/"), -1), r"\.")[0]
-    chain = weighed.filter((F.col("mass") > share * F.col("all")) & (F.col("m") >= min_pages) & tag.isin("body", *_CONTAINERS))
-    main = (chain.groupBy("host").agg(
-                F.min(F.when(F.col("own") > 1e-6 * F.col("all"), F.struct("depth", "branch"))).alias("top"),
-                F.max(F.struct("depth", "branch")).alias("deepest")).select("host", F.coalesce("top", "deepest").alias("b"))
-            .filter("b.depth > 1").select("host", "b.branch", F.lit(True).alias("main")))
-    low = weighed.filter((F.col("importance") < least) & (F.col("depth") > 1)).select("host", "branch", F.lit(False).alias("main"))
-    return low.union(main)
+    chain = (F.col("mass") > share * F.col("all")) & (F.col("m") >= min_pages) & tag.isin("body", *_CONTAINERS)
+    place = F.struct("depth", "branch")
+    # one pass over the branches, which are computed from all pages
+    found = weighed.groupBy("host").agg(
+        F.collect_list(F.when((F.col("importance") < least) & (F.col("depth") > 1), F.col("branch"))).alias("branches"),
+        F.min(F.when(chain & (F.col("own") > 1e-6 * F.col("all")), place)).alias("top"), F.max(F.when(chain, place)).alias("deepest"))
+    main = F.coalesce("top", "deepest")
+    return found.select("host", "branches", F.when(main["depth"] > 1, main["branch"]).alias("main"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -374,10 +375,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                         host_of(F.col(url_col)).alias("host"))
-    low = (style_tree(rows.select("host", "html")).groupBy("host").agg(
-               F.collect_list(F.when(~F.col("main"), F.col("branch"))).alias("branches"),
-               F.max(F.when(F.col("main"), F.col("branch"))).alias("main"))
-           .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    low = style_tree(rows.select("host", "html")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("url", "id"), F.lit(SALTS)).cast("int"))
     joined = salted.join(low, ["host", "salt"], "left").select("id", "url", "html", "branches", "main")
 
