@@ -10,7 +10,9 @@ walk of C1 (stdlib ``html.parser``, in Arrow batches via ``mapInPandas``).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
+from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -35,6 +37,12 @@ RATING_ROOT, BAR_PREFIX, OVERALL_CLASS = "rating-histogram", "rating-histogram-b
 
 VOID_TAGS = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
                        "param", "source", "track", "wbr"))
+# Plain tags, which most are; the parser reads all others itself.
+_START = re.compile(r'<([a-zA-Z][a-zA-Z0-9]*)((?: [a-zA-Z][a-zA-Z0-9-]*="[^"]*")*)>')
+_ATTRIBUTE = re.compile(r' ([a-zA-Z0-9-]+)="([^"]*)"')
+_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9]*)>")
+# Elements whose contents a parser may not read as markup.
+_RAW = frozenset(("script", "style", "textarea", "title", "plaintext", "xmp", "iframe", "noembed", "noframes", "noscript"))
 
 
 # C8 --------------------------------------------------------------------------
@@ -139,16 +147,23 @@ class _TreeBuilder(HTMLParser):
     def handle_data(self, data):
         self.cur.children.append(data)
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not asked for
 
-def _matches(node: _Node, selector: str) -> bool:
-    if selector.startswith("."):
-        return selector[1:] in (node.attrs.get("class") or "").split()
-    if selector.startswith("#"):
-        return node.attrs.get("id") == selector[1:]
-    if "." in selector:
-        tag, cls = selector.split(".", 1)
-        return node.tag == tag and cls in (node.attrs.get("class") or "").split()
-    return node.tag == selector
+    def parse_starttag(self, i):
+        m = _START.match(self.rawdata, i)
+        if m is None or (tag := m[1].lower()) in _RAW:
+            return super().parse_starttag(i)
+        self.lasttag = tag
+        self.handle_starttag(tag, [(a.lower(), unescape(v)) for a, v in _ATTRIBUTE.findall(m[2])] if m[2] else ())
+        return m.end()
+
+    def parse_endtag(self, i):
+        m = None if self.cdata_elem is not None else _END.match(self.rawdata, i)
+        if m is None:
+            return super().parse_endtag(i)
+        self.handle_endtag(m[1].lower())
+        return m.end()
 
 
 def _find(node: _Node, tag: str, cls: str | None):
@@ -164,13 +179,27 @@ def _find(node: _Node, tag: str, cls: str | None):
 
 def _strip_nodes(node: _Node, selectors: Sequence[str]) -> None:
     """Drop every element matching a selector, with its subtree."""
+    tags = {x for x in selectors if "." not in x and not x.startswith("#")}
+    ids = {x[1:] for x in selectors if x.startswith("#")}
+    classes = {x[1:] for x in selectors if x.startswith(".")}
+    pairs = [x.split(".", 1) for x in selectors if "." in x and x[0] not in ".#"]
+
+    def dropped(n: _Node) -> bool:
+        if n.tag in tags:
+            return True
+        if not n.attrs:
+            return False
+        held = (n.attrs.get("class") or "").split()
+        return (n.attrs.get("id") in ids or not classes.isdisjoint(held)
+                or any(n.tag == tag and cls in held for tag, cls in pairs))
+
     stack = [node]
     while stack:
         n = stack.pop()
         keep = []
         for ch in n.children:
             if isinstance(ch, _Node):
-                if any(_matches(ch, sel) for sel in selectors):
+                if dropped(ch):
                     continue
                 stack.append(ch)
             keep.append(ch)
