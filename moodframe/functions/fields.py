@@ -84,8 +84,9 @@ def path_parts(path: str | Column) -> tuple[Column, Column]:
     """(parent folder name, file stem) of a path as ``_metadata.file_path`` gives
     it, that is URL-encoded (a plus sign stands for itself there)."""
     p = F.url_decode(F.replace(_c(path), F.lit("+"), F.lit("%2B")))
-    folder = F.regexp_extract(p, r"([^/]+)/[^/]+$", 1)
-    stem = F.regexp_extract(p, r"([^/]+?)(\.[^./]*)?$", 1)
+    # cut first: a pattern that ends in $ is tried from every place of a long path
+    folder = F.regexp_extract(F.substring_index(p, "/", -2), r"([^/]+)/[^/]+$", 1)
+    stem = F.regexp_extract(F.substring_index(p, "/", -1), r"([^/]+?)(\.[^./]*)?$", 1)
     return folder, stem
 
 
