@@ -8,7 +8,8 @@ of starts are composed by a join of the table with itself, and the starts known
 so far are doubled by a join with the table, so a document of s scenes takes
 log2(s) + 1 rounds, whatever its length.
 
-No array holds a document. Groups are bounded: ``BLOCK`` lines for prefix sums,
+The texts are written once and wait; up to the last steps only numbers are
+moved. No array holds a document. Groups are bounded: ``BLOCK`` lines for prefix sums,
 ``max_words`` word counts for the jumps, one scene for its text.
 """
 
@@ -89,13 +90,15 @@ def segment_long_documents(lines: DataFrame, doc: str = "doc_id", order: str = "
     of its own. Lines are taken as they are (null counts as empty). An empty
     table gives an empty result."""
     d = lines.select(F.struct(F.col(doc).alias("id")).alias("doc"), F.col(order).alias("at"), F.coalesce(line, F.lit("")).alias("line"))
-    d = d.withColumn("words", tx.word_count("line", ws).cast("long"))
-    d = sequence.dense_index(d, ["doc"], ["at"], index_col="idx", count_col=None, long_groups=True)
-    d = _stored(sums_before(d, "doc", "idx", "words", "before"), "lines")
-    starts = scene_starts(d.select("doc", "idx", "words", "before"), max_words).withColumn("start", F.lit(1))
-    marked = d.join(starts, ["doc", "idx"], "left").withColumn("start", F.coalesce("start", F.lit(0)))
-    placed = sums_before(marked, "doc", "idx", "start", "earlier").withColumn("scene_idx", (F.col("earlier") + F.col("start") - 1).cast("int"))
-    scenes = placed.groupBy("doc", "scene_idx").agg(
+    d = _stored(d.withColumns({"words": tx.word_count("line", ws).cast("long"), "row": F.monotonically_increasing_id()}), "lines")
+    # the texts wait in that table: up to the last steps only numbers are moved
+    numbers = sequence.dense_index(d.drop("line"), ["doc"], ["at", "row"], index_col="idx", count_col=None, long_groups=True)
+    numbers = _stored(sums_before(numbers.drop("at"), "doc", "idx", "words", "before"), "numbers")
+    starts = scene_starts(numbers.drop("row"), max_words).withColumn("start", F.lit(1))
+    marked = numbers.select("doc", "row", "idx").join(starts, ["doc", "idx"], "left").withColumn("start", F.coalesce("start", F.lit(0)))
+    placed = sums_before(marked, "doc", "idx", "start", "earlier").select(
+        "row", "idx", (F.col("earlier") + F.col("start") - 1).cast("int").alias("scene_idx"))
+    scenes = d.select("doc", "row", "words", "line").join(placed, "row").groupBy("doc", "scene_idx").agg(
         F.sum("words").cast("int").alias("n_words"), F.sort_array(F.collect_list(F.struct("idx", "line"))).alias("held"))
     count = starts.groupBy("doc").agg(F.count("*").cast("int").alias("n_scenes"))
     return scenes.join(count, "doc").select(F.col("doc.id").alias(doc), "scene_idx", "n_scenes", "n_words",

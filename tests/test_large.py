@@ -52,6 +52,31 @@ def test_scenes_of_long_documents(spark, monkeypatch, limit):
     assert {d: [v[i] for i in range(len(v))] for d, v in got.items()} == {d: words(v) for d, v in docs.items()}
 
 
+def test_only_numbers_are_moved_before_lines_have_scenes(spark, monkeypatch):
+    seen = []
+
+    def noted(name, module):
+        plain = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda df, *a, **k: seen.append((name, df.columns)) or plain(df, *a, **k))
+
+    noted("dense_index", sequence)
+    noted("sums_before", long_segment)
+    noted("scene_starts", long_segment)
+    rows = [(d, i, f"{d} w{i} x") for d in (1, 2, None) for i in range(7)]
+    df = spark.createDataFrame(rows, "doc_id long, line_no long, line string")
+    got = long_segment.segment_long_documents(df, max_words=7).collect()
+    assert sorted((r.doc_id or 0, r.scene_idx, r.n_scenes, r.n_words, r.text) for r in got) == sorted(
+        (d or 0, k, 4, min(6, 21 - 6 * k), "\n".join(f"{d} w{i} x" for i in range(2 * k, min(7, 2 * k + 2)))) for d in (1, 2, None) for k in range(4))
+    assert {n for n, _ in seen} == {"dense_index", "sums_before", "scene_starts"}
+    assert not any("line" in c for _, c in seen)
+
+
+def test_repeated_rows_of_a_long_document_stay(spark):
+    df = spark.createDataFrame([(1, i, f"w{i}") for i in range(5)] * 2, "doc_id long, line_no long, line string").repartition(3)
+    got = long_segment.segment_long_documents(df, max_words=4).orderBy("scene_idx").collect()
+    assert [r.text.split("\n") for r in got] == [["w0", "w0", "w1", "w1"], ["w2", "w2", "w3", "w3"], ["w4", "w4"]]
+
+
 def test_no_lines(spark):
     df = spark.createDataFrame([], "doc_id long, line_no long, line string")
     assert long_segment.segment_long_documents(df).count() == 0
