@@ -179,17 +179,19 @@ def similar_texts(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, D
     texts, and (node, component) of every text that has a link. A node is the
     MD5 of a text."""
     texts = docs.select(F.unhex(F.md5(text_col)).alias("node"), F.col(text_col).alias("text")).filter("text is not null")
-    sketched = texts.mapInArrow(_buckets, "node binary, keys array<long>")
-    members = sketched.dropDuplicates(["node"]).select("node", "keys", F.posexplode("keys").alias("t", "key")).select(
-        "t", "key", "node", F.transform(F.sequence(F.lit(1), F.lit(NEAR)), lambda k: F.get("keys", (F.col("t") + k) % TABLES)).alias("near"))
+    sketched = stored(texts.mapInArrow(_buckets, "node binary, keys array<long>").dropDuplicates(["node"]), "sketches")
+    # most buckets hold one text: the other keys join a text's rows once those are gone
+    rows = sketched.select("node", F.posexplode("keys").alias("t", "key"))
     bucket = ["t", "key"]
-    sizes = members.groupBy(bucket).agg(F.count("*").alias("n")).filter("n > 1")
-    members = stored(members.join(sizes, bucket), "buckets")
+    sizes = rows.groupBy(bucket).agg(F.count("*").alias("n")).filter("n > 1")
+    shared = stored(rows.join(sizes, bucket), "buckets")
     # the text whose buckets are the fullest is the one that the others are copies of
-    rank = members.groupBy("node").agg(F.sum("n").alias("rank"))
-    members = members.join(rank, "node")
-    leaders = members.groupBy(bucket).agg(F.max(F.struct("rank", "node")).alias("top"))
-    members = stored(members.join(leaders, bucket).select(*bucket, "node", "near", "rank", F.col("top.node").alias("leader")), "buckets")
+    rank = shared.groupBy("node").agg(F.sum("n").alias("rank"))
+    ranked = shared.join(rank, "node")
+    leaders = ranked.groupBy(bucket).agg(F.max(F.struct("rank", "node")).alias("top"))
+    near = F.transform(F.sequence(F.lit(1), F.lit(NEAR)), lambda k: F.get("keys", (F.col("t") + k) % TABLES)).alias("near")
+    members = stored(ranked.join(sketched, "node").select(*bucket, "node", "rank", near).join(leaders, bucket).select(
+        *bucket, "node", "near", "rank", F.col("top.node").alias("leader")), "buckets")
     chain = Window.partitionBy(bucket).orderBy("near", "node")
     ahead = members.select("node", "leader", F.lag("node", 1).over(chain).alias("one"), F.lag("node", 2).over(chain).alias("two"))
     pairs = ahead.select("node", F.explode(F.array("leader", "one", "two")).alias("other")).filter("other is not null").select(

@@ -139,3 +139,16 @@ def test_awkward_rows(spark):
 def test_empty_table(spark):
     assert neardup.near_duplicates(empty(spark)).count() == 0
     assert neardup.drop_near_duplicates(empty(spark)).count() == 0
+
+
+def test_buckets_of_one_text_carry_no_other_keys(spark, monkeypatch):
+    tables = []
+    plain = neardup.stored
+    monkeypatch.setattr(neardup, "stored", lambda df, name: tables.append((name, plain(df, name))) or tables[-1][1])
+    rng = random.Random(4)
+    texts = [prose(i, 120) for i in range(30)] + [edited(rng, prose(1, 120), 1) for _ in range(3)]
+    neardup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    first = [(n, t) for n, t in tables if n in ("sketches", "buckets")][:3]
+    assert [n for n, _ in first] == ["sketches", "buckets", "buckets"]
+    assert first[0][1].count() == len(texts) and first[1][1].columns == ["t", "key", "node", "n"]
+    assert {len(r.near) for r in first[2][1].collect()} == {neardup.NEAR} and first[2][1].count() < neardup.TABLES * len(texts)
