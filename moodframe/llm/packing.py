@@ -49,7 +49,6 @@ class Ids:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}
-        self.letters: dict[str, bytes] = {}
         # words may be put together if the tokenizer keeps letter runs whole and apart from marks
         probe = self.tokenizer.encode("Ab, \u00e9a b.", add_special_tokens=False).word_ids
         self.parts = probe is not None and sorted(set(probe)) == [0, 1, 2, 3, 4] and self._one("Ab") == self._one("ab")
@@ -66,7 +65,7 @@ class Ids:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
     def _letters(self, new: set[str]) -> None:
-        """Encode letter runs together; each is one word to the tokenizer."""
+        """Encode letter runs together; each is one word to the tokenizer, and known as one."""
         runs = sorted(new)
         for at in range(0, len(runs), 500):
             part = runs[at:at + 500]
@@ -75,7 +74,7 @@ class Ids:
             ends = np.searchsorted(owner, np.arange(len(part)), side="right").tolist()
             data, size, begin = ids.tobytes(), self.kind.itemsize, 0
             for w, end in zip(part, ends, strict=True):
-                self.letters[w] = data[begin * size:end * size]
+                self.known[w] = data[begin * size:end * size]
                 begin = end
 
     def _learn(self, new: set[str]) -> None:
@@ -86,7 +85,7 @@ class Ids:
                 run = bare.lower()
                 if run.isalpha() and len(run) == len(bare) and "\u03c3" not in run and "\u03c2" not in run and is_normalized("NFC", run):
                     split[w] = run
-            self._letters({r for r in split.values() if r not in self.letters})
+            self._letters({r for r in split.values() if r not in self.known})
         other = [w for w in new if w not in split]
         for at in range(0, len(other), 10_000):
             part = other[at:at + 10_000]
@@ -96,13 +95,13 @@ class Ids:
             marks = w[len(run):]  # lower case keeps the length, or the run was not taken
             if marks and marks not in self.known:
                 self.known[marks] = self._one(marks)
-            self.known[w] = self.letters[run] + self.known[marks] if marks else self.letters[run]
+            self.known[w] = self.known[run] + self.known[marks] if marks else self.known[run]
 
     def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
         # str.split() also splits at \x1c-\x1f, which the tokenizer does not call white space
         split = [[t] if t and ODD.search(t) else (t or "").split() for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known, self.letters = {}, {}
+            self.known = {}
         new: set[str] = set()
         for words in split:
             new.update(words)

@@ -113,3 +113,13 @@ def test_awkward_rows(spark, tokenizer):
 
 def test_empty_table(spark):
     assert packing.pack(empty(spark), PATH).count() == 0
+
+
+def test_letter_runs_are_remembered_once():
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    ids = packing.Ids(path)
+    assert ids.parts
+    texts = ["Word, word WORD! other.", "word other Words"]
+    assert ids.encode(texts, 2) == packing.Ids(path).encode(texts, 2)
+    held = [v for v in vars(ids).values() if isinstance(v, dict)]
+    assert len(held) == 1 and sum(map(len, held)) == len(set("Word, word WORD! other. other Words words , ! .".split()))

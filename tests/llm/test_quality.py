@@ -72,3 +72,12 @@ def test_repeated_ids_are_one_labelled_row(spark, monkeypatch):
     once = quality.fit_quality(spark.createDataFrame(rows, schema), labels, max_labelled=20)
     many = quality.fit_quality(spark.createDataFrame(rows * 30, schema).repartition(7), labels, max_labelled=20)
     assert once.threshold == many.threshold
+
+
+def test_a_row_goes_to_the_judge_once(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SLICE", 3)  # slices begin inside a batch
+    docs = spark.createDataFrame([(i, prose(i, 80) if i % 3 else None, "x") for i in range(20)], "doc_id long, text string, source string").coalesce(1)
+    kept = quality.keep_good(docs, quality.QualityModel())
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {(r.doc_id, r.text) for r in docs.collect() if r.text}
+    sent = re.search(r"MapInArrow passing\(([^)]*)\)", kept._jdf.queryExecution().analyzed().toString())[1]
+    assert sent.startswith("row#") and "," not in sent
